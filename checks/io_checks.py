@@ -81,7 +81,7 @@ def _(spark, sf):
     arrays = F.struct(
         F.col("d.date").alias("time"),
         F.col("d.temperature_mean").alias("temperature_2m_mean"),
-        F.col("d.precipitation_sum"),
+        F.col("d.precipitation_sum").alias("precipitation_sum"),
         F.col("d.wind_speed_max").alias("windspeed_10m_max"),
     )
     payloads = packed.select("borough", F.to_json(F.struct(arrays.alias("daily"))).alias("payload"))
@@ -106,7 +106,7 @@ def _(spark, sf):
     )
     packed = X.fact(spark, sf).groupBy("pulocationid", F.to_date("hour_ts").alias("day")).agg(hours.alias("h"))
     arrays = F.struct(
-        F.col("h.time"),
+        F.col("h.time").alias("time"),
         F.col("h.avg_trip_distance").alias("temperature_2m"),
         F.col("h.demand").alias("precipitation"),
         F.col("h.avg_total_amount").alias("wind_speed_10m"),

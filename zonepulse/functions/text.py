@@ -41,7 +41,7 @@ def try_date(c: Column | str) -> Column:
 
 def parse_ids(c: Column | str) -> Column:
     """``"1, 2,,3"`` to an int array; blanks are skipped, a non-number becomes null."""
-    parts = F.transform(F.split(as_col(c), ","), F.trim)
+    parts = F.transform(F.split(as_col(c), ","), lambda p: F.trim(p))
     return F.transform(F.filter(parts, lambda p: p != ""), lambda p: p.try_cast("int"))
 
 

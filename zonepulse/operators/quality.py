@@ -171,8 +171,8 @@ def _ids(df: DataFrame, key: str) -> DataFrame:
 
 def _first_ids(ids: DataFrame, key: str, k: int) -> DataFrame:
     """Count of ids and the ``k`` lowest as text; only ``k`` ids are ever listed."""
-    lowest = ids.orderBy(key).limit(k).agg(F.array_sort(F.collect_list(key)).alias("_ids")).scalar()
-    text = F.concat_ws(", ", F.transform(lowest, lambda x: x.cast("string")))
+    listed = F.transform(F.array_sort(F.collect_list(key)), lambda x: x.cast("string"))
+    text = ids.orderBy(key).limit(k).agg(F.concat_ws(", ", listed).alias("_text")).scalar()
     return ids.agg(F.count("*").alias("n")).select(
         "n",
         F.when(F.col("n") > k, F.concat(text, F.lit("..."))).when(F.col("n") > 0, text).alias("listed"),

@@ -25,7 +25,8 @@ def bounding_box(df: DataFrame, ring: str) -> DataFrame:
 def normalise_points(df: DataFrame, ring: str, precision: int = 6) -> DataFrame:
     """Rings scaled to the common unit box, y flipped."""
     box = bounding_box(df, ring).select(F.struct("min_x", "min_y", "max_x", "max_y").alias("box")).scalar()
-    return df.withColumn(ring, normalise_ring(ring, box, precision))
+    boxed = df.withColumn("_box", box)
+    return boxed.withColumn(ring, normalise_ring(ring, F.col("_box"), precision)).drop("_box")
 
 
 def zone_polygons(df: DataFrame, points: str, offsets: str, precision: int = 6, step: int = 4) -> DataFrame:
