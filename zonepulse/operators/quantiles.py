@@ -11,20 +11,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from zonepulse.functions.columns import as_col
 
 ACCURACY = 10_000
+STEP = 2.0 / ACCURACY
 # At this accuracy the sketch drops nothing from an input of bounded size.
 EXACT = 2_000_000_000
 
 
 @dataclass
 class _Target:
-    """The ``rank``-th smallest value (from 0) of a column, known to lie in (lo, hi)."""
+    """The ``rank``-th smallest value (from 0) of a column.
+
+    It is one of ``inside`` values in the open range (lo, hi), of which
+    ``below`` values lie to the left.
+    """
 
     col: str
     rank: int
+    inside: int
     below: int = 0
-    inside: int = 0
-    lo: float | None = None
-    hi: float | None = None
+    lo: object = None
+    hi: object = None
     value: object = None
     found: bool = False
 
@@ -37,44 +42,55 @@ class _Target:
             cond = cond & (c < F.lit(self.hi))
         return cond
 
+    def share(self) -> float:
+        return (self.rank - self.below + 0.5) / self.inside
+
 
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
     interpolate: bool = False,
-    direct_rows: int = 1_000_000,
+    direct_rows: int = 50_000,
 ) -> dict[str, dict[float, float | None]]:
     """Quantiles of several columns at once, as driver scalars.
 
-    A sketch gives two values around each wanted rank, one counting pass says
-    where the rank lies between them, and this repeats until at most
-    ``direct_rows`` candidates are left, of which the value is taken exactly.
-    Each pass is one aggregation over all columns, so nothing is shuffled but
-    one row per task. ``interpolate`` is the linear rule, else the smallest
-    value that covers the share.
+    A sketch gives a value on either side of each wanted rank, one counting
+    pass says where the rank lies relative to them, and this repeats until at
+    most ``direct_rows`` candidates are left, of which the value is taken
+    exactly. Every pass is one aggregation over all columns, so a task sends
+    one row. ``interpolate`` is the linear rule, else the smallest value that
+    covers the share.
     """
-    counts = df.agg(*[F.count(as_col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    around = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-STEP, STEP)]
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(as_col(c)).alias(f"n{i}"), F.percentile_approx(as_col(c), around, ACCURACY).alias(f"s{i}")]
+    first = df.agg(*aggs).first()
+
     targets: dict[tuple[str, int], _Target] = {}
+    bracket: dict[tuple[str, int], tuple] = {}
     plan: dict[tuple[str, float], tuple[int, int, float] | None] = {}
     for i, c in enumerate(cols):
-        n = counts[f"n{i}"]
-        for p in probs:
+        n = first[f"n{i}"]
+        for j, p in enumerate(probs):
             if n == 0:
                 plan[c, p] = None
                 continue
-            if interpolate:
-                pos = p * (n - 1)
-                low, high = floor(pos), ceil(pos)
-                plan[c, p] = (low, high, pos - low)
-            else:
-                low = high = max(ceil(round(p * n, 9)) - 1, 0)
-                plan[c, p] = (low, low, 0.0)
+            pos = p * (n - 1) if interpolate else max(ceil(round(p * n, 9)) - 1, 0)
+            low, high = floor(pos), ceil(pos)
+            plan[c, p] = (low, high, pos - low)
             for r in {low, high}:
                 targets.setdefault((c, r), _Target(c, r, inside=n))
+                bracket.setdefault((c, r), (first[f"s{i}"][2 * j], first[f"s{i}"][2 * j + 1]))
+
+    def still_wide():
+        return [k for k, t in targets.items() if not t.found and t.inside > direct_rows]
 
-    while wide := [t for t in targets.values() if not t.found and t.inside > direct_rows]:
-        _narrow(df, wide)
+    if keys := still_wide():
+        _narrow(df, [(targets[k], *bracket[k]) for k in keys])
+    while keys := still_wide():
+        _narrow(df, _sketch(df, [targets[k] for k in keys]))
     _pick(df, [t for t in targets.values() if not t.found])
 
     out: dict[str, dict[float, float | None]] = {c: {} for c in cols}
@@ -82,37 +98,32 @@ def exact_quantiles(
         if where is None:
             out[c][p] = None
             continue
-        low, high, share = where
+        low, high, part = where
         a, b = targets[c, low].value, targets[c, high].value
-        out[c][p] = a if share == 0 else a + (b - a) * share
+        out[c][p] = a if part == 0 else a + (b - a) * part
     return out
 
 
-def _narrow(df: DataFrame, wide: list[_Target]) -> None:
-    """One sketch pass and one counting pass for all open targets."""
-    step = 2.0 / ACCURACY
-    sketches = []
+def _sketch(df: DataFrame, wide: list[_Target]) -> list[tuple]:
+    """A value on either side of each target, from its own range."""
+    aggs = []
     for i, t in enumerate(wide):
-        share = (t.rank - t.below + 0.5) / t.inside
-        probs = [max(share - step, 0.0), min(share + step, 1.0)]
-        value = F.when(t.within(), as_col(t.col))
-        sketches.append(F.percentile_approx(value, probs, ACCURACY).alias(f"s{i}"))
-    pairs = df.agg(*sketches).first()
+        ends = [max(t.share() - STEP, 0.0), min(t.share() + STEP, 1.0)]
+        aggs.append(F.percentile_approx(F.when(t.within(), as_col(t.col)), ends, ACCURACY).alias(f"s{i}"))
+    row = df.agg(*aggs).first()
+    return [(t, *row[f"s{i}"]) for i, t in enumerate(wide)]
 
+
+def _narrow(df: DataFrame, brackets: list[tuple]) -> None:
+    """Count around both values of each bracket and keep the part that holds the rank."""
     tallies = []
-    for i, t in enumerate(wide):
-        a, b = pairs[f"s{i}"]
+    for i, (t, a, b) in enumerate(brackets):
         c, inside = as_col(t.col), t.within()
-        tallies += [
-            F.count_if(inside & (c < F.lit(a))).alias(f"lt_a{i}"),
-            F.count_if(inside & (c <= F.lit(a))).alias(f"le_a{i}"),
-            F.count_if(inside & (c < F.lit(b))).alias(f"lt_b{i}"),
-            F.count_if(inside & (c <= F.lit(b))).alias(f"le_b{i}"),
-        ]
+        for name, v in (("a", a), ("b", b)):
+            tallies.append(F.count_if(inside & (c < F.lit(v))).alias(f"lt_{name}{i}"))
+            tallies.append(F.count_if(inside & (c <= F.lit(v))).alias(f"le_{name}{i}"))
     row = df.agg(*tallies).first()
-
-    for i, t in enumerate(wide):
-        a, b = pairs[f"s{i}"]
+    for i, (t, a, b) in enumerate(brackets):
         want = t.rank - t.below
         lt_a, le_a, lt_b, le_b = (row[f"{k}{i}"] for k in ("lt_a", "le_a", "lt_b", "le_b"))
         if lt_a <= want < le_a:
@@ -131,11 +142,9 @@ def _pick(df: DataFrame, left: list[_Target]) -> None:
     """The exact value among a bounded number of candidates per target."""
     if not left:
         return
-    exprs = []
-    for i, t in enumerate(left):
-        share = (t.rank - t.below + 0.5) / t.inside
-        value = F.when(t.within(), as_col(t.col))
-        exprs.append(F.percentile_approx(value, share, EXACT).alias(f"v{i}"))
-    row = df.agg(*exprs).first()
+    aggs = [
+        F.percentile_approx(F.when(t.within(), as_col(t.col)), t.share(), EXACT).alias(f"v{i}") for i, t in enumerate(left)
+    ]
+    row = df.agg(*aggs).first()
     for i, t in enumerate(left):
         t.value, t.found = row[f"v{i}"], True
