@@ -95,22 +95,23 @@ def compare_models(
 ) -> tuple[DataFrame, dict[str, object]]:
     """Metrics per candidate, and the fitted models.
 
-    The training frame is kept in memory or on disk for the candidates; lost
-    blocks are recomputed from its source.
+    The three frames are kept in memory or on disk for the candidates; lost
+    blocks are recomputed from their source.
     """
     from pyspark import StorageLevel
 
     spark = train.sparkSession
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [df.persist(StorageLevel.MEMORY_AND_DISK) for df in (train, val, test)]
     rows, models = [], {}
     try:
         for name, estimator in (estimators or {n: make() for n, make in CANDIDATES.items()}).items():
-            model = fit_pipeline(kept, estimator, features)
-            v, t = evaluate(model, val, "val").first(), evaluate(model, test, "test").first()
+            model = fit_pipeline(kept[0], estimator, features)
+            v, t = evaluate(model, kept[1], "val").first(), evaluate(model, kept[2], "test").first()
             rows.append((name, *[float(x) for x in (*v, *t)]))
             models[name] = model
     finally:
-        kept.unpersist()
+        for df in kept:
+            df.unpersist()
     schema = "model string, " + ", ".join(f"{m} double" for m in METRICS)
     return spark.createDataFrame(rows, schema), models
 
@@ -134,19 +135,19 @@ def promotion(metrics: DataFrame, production: DataFrame | None = None) -> DataFr
     limits = S.PROMOTION_TOLERANCE
     new = metrics.select("model", *limits)
     if production is None:
-        old = new.select(*[F.lit(None).cast("double").alias(f"_old_{m}") for m in limits], F.lit(False).alias("_has"))
-        joined = new.withColumns({c: F.lit(None).cast(old.schema[c].dataType) for c in old.columns})
+        previous = {f"_old_{m}": F.lit(None).cast("double") for m in limits}
+        known = F.lit(False)
     else:
-        packed = production.select(
-            F.struct(*[as_col(m).alias(m) for m in limits]).alias("_p")
-        ).limit(1).scalar()
-        joined = new.withColumns({**{f"_old_{m}": packed[m] for m in limits}, "_has": packed.isNotNull()})
+        packed = production.select(F.struct(*limits).alias("_p")).limit(1).scalar()
+        previous = {f"_old_{m}": packed[m] for m in limits}
+        known = packed.isNotNull()
+    joined = new.withColumns({**previous, "_has": known})
     checks = {f"{m}_passed": F.coalesce(F.col(m) <= F.col(f"_old_{m}") * t, F.lit(True)) for m, t in limits.items()}
     out = joined.withColumns(checks)
     approved = F.lit(True)
     for c in checks:
         approved = approved & F.col(c)
-    first = ~F.coalesce("_has", F.lit(False))
+    first = ~F.col("_has")
     return out.select(
         "model",
         *limits,
