@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from zonepulse.functions.columns import as_col
 
-ACCURACY = 10_000
+ACCURACY = 1_000
 STEP = 2.0 / ACCURACY
 # At this accuracy the sketch drops nothing from an input of bounded size.
 EXACT = 2_000_000_000
@@ -104,28 +104,44 @@ def exact_quantiles(
     return out
 
 
+def _by_range(targets: list[_Target]) -> list[list[_Target]]:
+    """Targets that look at the same column and range share their sketch."""
+    groups: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        groups.setdefault((t.col, t.lo, t.hi), []).append(t)
+    return list(groups.values())
+
+
+def _in_range(t: _Target) -> Column:
+    return F.when(t.within(), as_col(t.col))
+
+
 def _sketch(df: DataFrame, wide: list[_Target]) -> list[tuple]:
     """A value on either side of each target, from its own range."""
+    groups = _by_range(wide)
     aggs = []
-    for i, t in enumerate(wide):
-        ends = [max(t.share() - STEP, 0.0), min(t.share() + STEP, 1.0)]
-        aggs.append(F.percentile_approx(F.when(t.within(), as_col(t.col)), ends, ACCURACY).alias(f"s{i}"))
+    for i, group in enumerate(groups):
+        ends = [min(max(t.share() + d, 0.0), 1.0) for t in group for d in (-STEP, STEP)]
+        aggs.append(F.percentile_approx(_in_range(group[0]), ends, ACCURACY).alias(f"s{i}"))
     row = df.agg(*aggs).first()
-    return [(t, *row[f"s{i}"]) for i, t in enumerate(wide)]
+    return [(t, row[f"s{i}"][2 * j], row[f"s{i}"][2 * j + 1]) for i, g in enumerate(groups) for j, t in enumerate(g)]
 
 
 def _narrow(df: DataFrame, brackets: list[tuple]) -> None:
     """Count around both values of each bracket and keep the part that holds the rank."""
-    tallies = []
-    for i, (t, a, b) in enumerate(brackets):
-        c, inside = as_col(t.col), t.within()
-        for name, v in (("a", a), ("b", b)):
-            tallies.append(F.count_if(inside & (c < F.lit(v))).alias(f"lt_{name}{i}"))
-            tallies.append(F.count_if(inside & (c <= F.lit(v))).alias(f"le_{name}{i}"))
-    row = df.agg(*tallies).first()
-    for i, (t, a, b) in enumerate(brackets):
+    tallies: dict[tuple, Column] = {}
+    for t, a, b in brackets:
+        for v in (a, b):
+            key = (t.col, t.lo, t.hi, v)
+            if key not in tallies:
+                c, inside = as_col(t.col), t.within()
+                tallies[key] = F.struct(F.count_if(inside & (c < F.lit(v))), F.count_if(inside & (c <= F.lit(v))))
+    row = df.agg(*[c.alias(f"t{i}") for i, c in enumerate(tallies.values())]).first()
+    counted = dict(zip(tallies, row))
+    for t, a, b in brackets:
         want = t.rank - t.below
-        lt_a, le_a, lt_b, le_b = (row[f"{k}{i}"] for k in ("lt_a", "le_a", "lt_b", "le_b"))
+        lt_a, le_a = counted[t.col, t.lo, t.hi, a]
+        lt_b, le_b = counted[t.col, t.lo, t.hi, b]
         if lt_a <= want < le_a:
             t.value, t.found = a, True
         elif lt_b <= want < le_b:
@@ -142,9 +158,11 @@ def _pick(df: DataFrame, left: list[_Target]) -> None:
     """The exact value among a bounded number of candidates per target."""
     if not left:
         return
+    groups = _by_range(left)
     aggs = [
-        F.percentile_approx(F.when(t.within(), as_col(t.col)), t.share(), EXACT).alias(f"v{i}") for i, t in enumerate(left)
+        F.percentile_approx(_in_range(g[0]), [t.share() for t in g], EXACT).alias(f"v{i}") for i, g in enumerate(groups)
     ]
     row = df.agg(*aggs).first()
-    for i, t in enumerate(left):
-        t.value, t.found = row[f"v{i}"], True
+    for i, group in enumerate(groups):
+        for t, value in zip(group, row[f"v{i}"]):
+            t.value, t.found = value, True
