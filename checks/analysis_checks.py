@@ -404,11 +404,14 @@ def _(spark, sf):
 
 @check(
     "J7_weather_by_zone",
-    """SELECT z.location_id, z.borough, w.date, w.temperature_mean, w.precipitation_sum, w.wind_speed_max
-       FROM x4 z LEFT JOIN x5 w ON z.borough = w.borough""",
+    """SELECT z.location_id, z.borough, w.date, w.temperature_mean, w.precipitation_sum, w.wind_speed_max FROM x4 z
+       LEFT JOIN (SELECT * FROM x5 QUALIFY row_number() OVER (PARTITION BY borough ORDER BY date DESC) = 1) w ON z.borough = w.borough""",
 )
 def _(spark, sf):
-    return dims.weather_by_zone(X.x4(spark, sf), X.x5(spark, sf))
+    # One forecast per borough: its latest day.
+    days = X.x5(spark, sf)
+    latest = days.groupBy("borough").agg(F.max_by(F.struct("date", *S.WEATHER_COLUMNS), "date").alias("w"))
+    return dims.weather_by_zone(X.x4(spark, sf), latest.select("borough", "w.*"))
 
 
 @check(
@@ -623,7 +626,12 @@ def _(spark, sf):
     return Q.check_references(X.table(spark, sf, "customer"), X.table(spark, sf, "events"), "c_custkey", "user_id")
 
 
-@check("Q9_assert_expectations")
+@check(
+    "Q9_assert_expectations",
+    _rules_sql("dim_zone", [(r, "error", "SELECT 0") for r in ("empty", "missing_columns", "null_id", "duplicate_key")])
+    + " UNION ALL "
+    + _rules_sql("dim_weather", [(r, "error", "SELECT count(*) * 0 FROM x5") for r in ("empty", "missing_columns", "duplicate_key")]),
+)
 def _(spark, sf):
     results = Q.check_zones(X.x4(spark, sf)).unionByName(Q.check_weather(X.x5(spark, sf)))
     Q.assert_expectations(results)

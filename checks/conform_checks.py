@@ -10,7 +10,6 @@ from zonepulse import schemas as S
 from zonepulse.functions import score, text, time
 from zonepulse.operators import conform as C, demand as D, dims, features as E, integrity as I, ranking as K
 from zonepulse.operators.drift import at_least, drift_view, feature_coverage
-from zonepulse.operators.explore import dense_mean
 from zonepulse.operators.profile import cap_outliers
 from zonepulse.operators.scoring import scoring_grid
 from zonepulse.plans import etl
@@ -221,11 +220,17 @@ def _(spark, sf):
     return X.rounded(E.select_features(X.features(spark, sf)))
 
 
-@check("P20_feature_columns")
+FEATURE_LIST = ", ".join(f"'{c}'" for c in S.FEATURES)
+
+
+@check(
+    "P20_feature_columns",
+    f"""SELECT (SELECT count(*) FROM features) AS rows, unnest(range({len(S.FEATURES)})) AS slot, unnest([{FEATURE_LIST}]) AS feature""",
+)
 def _(spark, sf):
     rows = X.features(spark, sf)
     names = F.array(*[F.lit(c) for c in S.feature_columns(rows)])
-    return rows.agg(F.count("*").alias("rows")).select("rows", F.posexplode(names).alias("slot", "feature"))
+    return X.rounded(rows.agg(F.count("*").alias("rows")).select("rows", F.posexplode(names).alias("slot", "feature")))
 
 
 @check(
@@ -424,7 +429,10 @@ def _(spark, sf):
     return X.rounded(K.ordered_union(first, second, ["id"]))
 
 
-@check("U5_missing_columns")
+@check(
+    "U5_missing_columns",
+    "SELECT (SELECT count(*) FROM x2_b) AS rows, unnest(['tpep_dropoff_datetime', 'tpep_pickup_datetime']) AS missing",
+)
 def _(spark, sf):
     raw = X.x2_b(spark, sf)
     absent = S.missing_columns(raw, S.REQUIRED["yellow"])

@@ -8,9 +8,7 @@ from checks import fixtures as X
 from checks.registry import check
 from zonepulse import schemas as S
 from zonepulse.operators.conform import fill_missing, union_present
-from zonepulse.operators.drift import top_drift
 from zonepulse.operators.model import fit_pipeline, linear_regression
-from zonepulse.plans.reports import drift_report
 from zonepulse.sources import readers as R, replace as P, sampling, writers as W
 from zonepulse.sources.shared import scratch_path
 
@@ -136,14 +134,18 @@ def _(spark, sf):
     return X.rounded(feeds.select("taxi_type", "pulocationid", "dolocationid", "trip_distance", "total_amount"), 6, ())
 
 
-@check("S10_period_exists")
+@check(
+    "S10_period_exists",
+    """SELECT strftime(hour_ts, '%Y-%m') AS year_month, count(*) AS n, false AS existed_before, true AS exists_after FROM fact GROUP BY 1""",
+)
 def _(spark, sf):
     path = scratch_path(spark, "periods")
     before = R.period_exists(spark, path, "year_month=2024-01")
     rows = W.with_period(X.fact(spark, sf), "hour_ts")
     W.write_period(rows, path)
     after = R.period_exists(spark, path, "year_month=2024-01")
-    return spark.read.parquet(path).groupBy("year_month").agg(
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return stored.groupBy("year_month").agg(
         F.count("*").alias("n"), F.lit(before).alias("existed_before"), F.lit(after).alias("exists_after")
     )
 
@@ -330,15 +332,6 @@ def _(spark, sf):
     return rows.select("data_month", "overall_status", "training_triggered")
 
 
-@check("K11_export_drift")
-def _(spark, sf):
-    path = scratch_path(spark, "drift")
-    report = drift_report(X.drift_features(spark, sf), "2001-07", at="2001-07-01")
-    W.export_drift(report, path)
-    stats = spark.read.schema(S.DRIFT_FEATURES).csv(f"{path}/features", header=True)
-    return top_drift(stats, 100)
-
-
 @check(
     "K12_table_layouts",
     """SELECT hour_ts, pulocationid, demand, round(avg_trip_distance, 6) AS avg_trip_distance,

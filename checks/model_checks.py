@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks import fixtures as X
+from checks.analysis_checks import ACTUAL, SERVED, WITH_HISTORY
 from checks.registry import check
 from zonepulse import schemas as S
 from zonepulse.functions import geometry as G
@@ -13,7 +14,7 @@ from zonepulse.operators import drift as D, model as M, nearest as N, ranking as
 from zonepulse.plans import serving
 from zonepulse.plans.reports import drift_report
 from zonepulse.sources.shared import scratch_path
-from zonepulse.sources.writers import save_model
+from zonepulse.sources.writers import export_drift, save_model
 
 # --- drift ---------------------------------------------------------------
 
@@ -57,6 +58,14 @@ def _as_compared(df):
     )
 
 
+@check("K11_export_drift", f"WITH {JULY} SELECT DATE '2001-07-01' AS data_month, * FROM ({FEATURE_DRIFT})")
+def _(spark, sf):
+    path = scratch_path(spark, "drift")
+    export_drift(drift_report(X.drift_features(spark, sf), "2001-07", at="2001-07-01"), path)
+    stats = spark.read.schema(S.DRIFT_FEATURES).csv(f"{path}/features", header=True)
+    return _as_compared(stats).withColumn("data_month", F.lit("2001-07-01").cast("date"))
+
+
 @check("M11_feature_drift", f"WITH {JULY} {FEATURE_DRIFT}")
 def _(spark, sf):
     return _as_compared(D.feature_drift(*_july(spark, sf)))
@@ -276,7 +285,7 @@ def _(spark, sf):
     return X.bag(*[p.select("o_orderkey", F.lit(n).alias("part")) for p, n in zip(parts, ("train", "val", "test"))])
 
 
-@check("M3_assemble")
+@check("M3_assemble", "SELECT pulocationid, hour_ts, 31 AS slots, CAST(pulocationid AS DOUBLE) AS first FROM features")
 def _(spark, sf):
     out = M.assembler().transform(X.features(spark, sf))
     values = vector_to_array("features")
@@ -505,6 +514,30 @@ def _(spark, sf):
     return X.rounded(Z.nearby_zones(X.requests(spark, sf), _centers(spark, sf)))
 
 
+@check(
+    "M18_scoring_features",
+    f"""WITH {CENTERS}, named AS (SELECT request_id, ts, unnest(zone_ids) AS id, zone_ids FROM requests),
+       pairs AS (SELECT n.request_id, n.ts, n.id, o.id AS near_id, row_number() OVER (PARTITION BY n.request_id, n.id
+           ORDER BY sqrt(pow(o.x - c.x, 2) + pow(o.y - c.y, 2)), o.id) AS rank
+         FROM named n JOIN centers c ON c.id = n.id JOIN centers o ON NOT list_contains(n.zone_ids, o.id)),
+       grid AS (SELECT request_id, ts, id, 'selected' AS source FROM named
+         UNION ALL SELECT DISTINCT request_id, ts, near_id, 'nearby' FROM pairs WHERE rank <= 4),
+       asked AS (SELECT DISTINCT id AS pulocationid, ts AS hour_ts FROM grid),
+       {ACTUAL}, {WITH_HISTORY}, served AS ({SERVED})
+       SELECT g.request_id, CAST(g.id AS BIGINT) AS pulocationid, g.source, hour(g.ts) AS hour, coalesce(w.temperature_mean, 0) AS temperature_mean,
+         CAST(coalesce(w.precipitation_sum, 0) >= 10 AS BIGINT) AS is_heavy_rain, s.demand_lag_1, s.demand_lag_2, s.demand_lag_24, s.rolling_mean_3h
+       FROM grid g LEFT JOIN x4 z ON z.location_id = g.id LEFT JOIN x5 w ON w.borough = z.borough AND w.date = CAST(g.ts AS DATE)
+       LEFT JOIN served s ON s.pulocationid = g.id AND s.hour_ts = g.ts""",
+)
+def _(spark, sf):
+    rows = serving.scoring_features(
+        X.requests(spark, sf), X.fact(spark, sf), X.x4(spark, sf), X.x5(spark, sf), _centers(spark, sf)
+    )
+    return X.rounded(
+        rows.select("request_id", "pulocationid", "source", "hour", "temperature_mean", "is_heavy_rain", *S.LAG_COLUMNS)
+    )
+
+
 @check("M18_score_zones")
 def _(spark, sf):
     rows = X.features(spark, sf)

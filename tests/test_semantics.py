@@ -540,3 +540,11 @@ def test_build_fact_cleans_and_signs(spark):
     assert fact.columns == S.FACT.names
     assert values(fact, "hour_ts", "pulocationid", "demand", "avg_trip_distance") == [(at(5, 9), 4, 2, 3.0)]
     assert I.tampered_count(fact, "key").first()["n"] == 0
+
+
+def test_ranks_inside_groups_too_big_for_a_window(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 4).alias("g"), (F.col("id") % 11).alias("s"))
+    order = [F.col("s").desc(), F.col("id").asc()]
+    small = K._rank(df, ["g"], order, "rank")
+    big = K._rank(df, ["g"], order, "rank", window_rows=10)
+    assert small.exceptAll(big.withColumn("rank", F.col("rank").cast("int"))).count() == 0

@@ -14,7 +14,7 @@ from zonepulse.functions.columns import as_col
 def hour_bucket(ts: Column | str) -> Column:
     """Start of the wall-clock hour."""
     ts = as_col(ts)
-    return F.timestamp_add("HOUR", F.hour(ts), F.to_date(ts).cast("timestamp_ntz"))
+    return F.to_date(ts).cast("timestamp_ntz") + F.hour(ts) * F.expr("INTERVAL 1 HOUR")
 
 
 def date_trunc(unit: str, ts: Column | str) -> Column:

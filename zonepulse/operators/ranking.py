@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from zonepulse.functions.columns import as_col
 from zonepulse.sources.shared import cut_lineage
 
+# The largest group a window may sort in one task.
+WINDOW_ROWS = 5_000_000
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per key, the least by all columns (or by ``order`` first).
@@ -36,21 +40,35 @@ def top_n(df: DataFrame, score: str, tie: str, n: int) -> DataFrame:
 
 
 def rank_within(df: DataFrame, part: Sequence[str], dist: str, tie: str, name: str = "rank") -> DataFrame:
-    """Rank inside a group by ascending distance.
-
-    For groups of known size, such as one request's zones; ``rank_by`` without
-    a group ranks a whole table.
-    """
-    w = Window.partitionBy(*part).orderBy(as_col(dist).asc(), as_col(tie).asc())
-    return df.withColumn(name, F.row_number().over(w))
+    """Rank inside a group by ascending distance."""
+    return _rank(df, part, [as_col(dist).asc(), as_col(tie).asc()], name)
 
 
 def rank_by(df: DataFrame, score: str, tie: str, within: Sequence[str] = (), name: str = "rank") -> DataFrame:
-    """Rank by descending score, ties by ascending id."""
-    order = [as_col(score).desc(), as_col(tie).asc()]
-    if within:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*within).orderBy(*order)))
-    return global_row_number(df, order, name)
+    """Rank by descending score, ties by ascending id; over the whole table or inside groups."""
+    return _rank(df, within, [as_col(score).desc(), as_col(tie).asc()], name)
+
+
+def _rank(
+    df: DataFrame, part: Sequence[str], order: Sequence[Column], name: str, window_rows: int = WINDOW_ROWS
+) -> DataFrame:
+    """Row number per group.
+
+    Small groups go through a window. If the largest group is too big for one
+    task, the table is range-sorted by group and order instead, which cuts
+    through groups, and each row's place is counted from its group's first.
+    """
+    if not part:
+        return global_row_number(df, order, name)
+    sizes = df.groupBy(*part).agg(F.count("*").alias("_n"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= window_rows:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+    placed = cut_lineage(global_row_number(df, [*[as_col(p).asc() for p in part], *order], "_place"))
+    firsts = placed.groupBy(*[as_col(p).alias(f"_g{i}") for i, p in enumerate(part)]).agg(F.min("_place").alias("_first"))
+    same = reduce(lambda a, b: a & b, [as_col(p).eqNullSafe(F.col(f"_g{i}")) for i, p in enumerate(part)])
+    return placed.join(firsts, same).select(
+        *[as_col(c) for c in df.columns], (F.col("_place") - F.col("_first") + 1).alias(name)
+    )
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:

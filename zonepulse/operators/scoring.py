@@ -32,11 +32,10 @@ def nearby_zones(requests: DataFrame, centers: DataFrame, k: int = 4) -> DataFra
     Neighbours depend on the zone alone, so they are found once per zone, with
     as many spare ones as a request can name, and filtered inside the row.
     """
-    chosen = selected_zones(requests)
+    named = requests.select("request_id", "ts", "zone_ids", F.explode(F.array_distinct("zone_ids")).alias("id"))
     longest = requests.agg(F.max(F.size(F.array_distinct("zone_ids")))).first()[0] or 0
-    probes = centers.join(chosen.select("id").distinct(), "id", "left_semi")
+    probes = centers.join(named.select("id").distinct(), "id", "left_semi")
     near = nearest(centers, probes, k + max(longest - 1, 0))
-    named = chosen.join(requests.select("request_id", "zone_ids"), "request_id")
     open_ = named.join(near, "id").filter(~F.array_contains("zone_ids", F.col("near_id")))
     order = Window.partitionBy("request_id", "id").orderBy("rank")
     kept = open_.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k)
