@@ -657,11 +657,30 @@ def _(spark, sf):
     return X.rounded(P.anomaly_flags(rows, {**S.ANOMALY, "null_rate": 0.1}))
 
 
-@check("Q13_quality_report")
+def _capped(c: str, table: str) -> str:
+    return f"SELECT 'histogram_{c}', 40, count(*) FROM {table} WHERE {c} <= (SELECT quantile_cont({c}, 0.995) FROM {table})"
+
+
+@check(
+    "Q13_quality_report",
+    """SELECT 'fact_describe' AS report, 3 AS entries, 3 * count(*) AS total FROM fact
+       UNION ALL SELECT 'fact_nulls', 5, 0
+       UNION ALL SELECT 'top_zones', count(*), CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM fact GROUP BY pulocationid ORDER BY 1 DESC, pulocationid LIMIT 15)
+       UNION ALL SELECT 'anomalies', CAST(count(*) FILTER (avg_total_amount > 500) > 0 AS BIGINT), count(*) FILTER (avg_total_amount > 500) FROM fact
+       UNION ALL SELECT 'weather_describe', 3, 3 * count(*) FROM x5 UNION ALL """
+    + " UNION ALL ".join(
+        [_capped(c, "fact") for c in ("demand", "avg_trip_distance", "avg_total_amount")]
+        + [_capped(c, "x5") for c in S.WEATHER_COLUMNS]
+    ),
+)
 def _(spark, sf):
     report = quality_report(X.fact(spark, sf), X.x5(spark, sf), 2024, 1)
+    counted = {"fact_describe": "count", "weather_describe": "count", "anomalies": "value"}
     parts = [
-        df.select(F.lit(name).alias("report"), F.to_json(F.struct(*df.columns)).alias("row")) for name, df in report.items()
+        df.agg(
+            F.count("*").alias("entries"), F.coalesce(F.sum(counted.get(name, "n")).cast("long"), F.lit(0)).alias("total")
+        ).select(F.lit(name).alias("report"), "entries", "total")
+        for name, df in report.items()
     ]
     return X.bag(*parts)
 

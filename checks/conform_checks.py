@@ -571,6 +571,18 @@ def _(spark, sf):
     return I.tampered_count(_tampered(spark, sf), X.KEY)
 
 
-@check("A30_content_hash")
-def _(spark, sf):
-    return I.content_hash(X.table(spark, sf, "lineitem"))
+@check("A30_content_hash", "SELECT count(*) AS n, true AS same_rows, false AS doubled_rows, false AS one_cell_changed FROM lineitem")
+def _(spark, sf):
+    rows = X.table(spark, sf, "lineitem")
+    lines = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    top = rows.agg(F.max(lines)).scalar()
+    variants = {
+        "same_rows": rows.repartition(5, "l_partkey"),
+        "doubled_rows": rows.unionByName(rows),
+        "one_cell_changed": rows.withColumn("l_tax", F.when(lines == top, F.col("l_tax") + 1).otherwise(F.col("l_tax"))),
+    }
+    base = I.content_hash(rows)
+    verdicts = {
+        name: F.col("hash") == I.content_hash(df).select("hash").scalar() for name, df in variants.items()
+    }
+    return base.withColumns(verdicts).drop("hash")

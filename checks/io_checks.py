@@ -150,32 +150,60 @@ def _(spark, sf):
     )
 
 
-@check("S11_sample_rows")
+def _in_table(sample, whole, keys):
+    """Size of a sample, its distinct keys, and how many of its rows the table has."""
+    found = sample.join(whole.select(*keys), keys, "left_semi").agg(F.count("*")).scalar()
+    return sample.agg(F.count("*").alias("n"), F.count_distinct(*keys).alias("n_keys")).withColumn("n_found", found)
+
+
+LINES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
+
+
+@check("S11_sample_rows", "SELECT true AS near_five_percent, true AS within_cap, true AS all_found FROM events LIMIT 1")
 def _(spark, sf):
-    return sampling.sample_rows(X.fact(spark, sf), 0.05, 100_000, 42)
+    rows = X.table(spark, sf, "events")
+    out = _in_table(sampling.sample_rows(rows, 0.05, 100_000, 42), rows, ["event_id"])
+    n = rows.agg(F.count("*")).scalar()
+    return out.select(
+        (F.abs(F.col("n") - n * 0.05) < 5 * F.sqrt(n * 0.05)).alias("near_five_percent"),
+        (F.col("n") <= 100_000).alias("within_cap"),
+        (F.col("n") == F.col("n_found")).alias("all_found"),
+    )
 
 
-@check("S12_dev_sample")
+@check("S12_dev_sample", "SELECT true AS near_share, (SELECT count(*) FROM events) AS n_at_full_share")
 def _(spark, sf):
-    return sampling.dev_sample(X.fact(spark, sf), 0.2, 42)
+    rows = X.table(spark, sf, "events")
+    n = rows.agg(F.count("*")).scalar()
+    whole = sampling.dev_sample(rows, 1.0).agg(F.count("*")).scalar()
+    part = sampling.dev_sample(rows, 0.2, 42).agg(F.count("*").alias("m"))
+    return part.select((F.abs(F.col("m") - n * 0.2) < 5 * F.sqrt(n * 0.2)).alias("near_share"), whole.alias("n_at_full_share"))
 
 
-@check("S13_sample_n")
+@check("S13_sample_n", "SELECT least(5000, count(*)) AS n, least(5000, count(*)) AS n_keys, least(5000, count(*)) AS n_found FROM events")
 def _(spark, sf):
-    return sampling.sample_n(X.fact(spark, sf), 1_000_000, 42)
+    rows = X.table(spark, sf, "events")
+    return _in_table(sampling.sample_n(rows, 5000, 42), rows, ["event_id"])
 
 
-@check("S14_sample_seeded")
+@check("S14_sample_seeded", "SELECT least(20000, count(*)) AS n, least(20000, count(*)) AS n_found, true AS repeatable FROM lineitem")
 def _(spark, sf):
-    return sampling.sample_n(X.features(spark, sf), 20_000, 42, ["pulocationid", "hour_ts"])
+    rows = X.table(spark, sf, "lineitem")
+    first, second = (sampling.sample_n(rows, 20_000, 42, LINES) for _ in range(2))
+    same = first.select(*LINES).exceptAll(second.select(*LINES)).agg(F.count("*") == 0).scalar()
+    return _in_table(first, rows, LINES).select("n", "n_found", same.alias("repeatable"))
 
 
-@check("S15_load_model")
+@check("S15_load_model", "SELECT count(*) AS n, count(*) AS n_equal FROM features")
 def _(spark, sf):
     rows = X.features(spark, sf)
     path = scratch_path(spark, "model")
-    W.save_model(fit_pipeline(rows, linear_regression()), path)
-    return R.load_model(path).transform(rows).select("pulocationid", "hour_ts", "target_demand", "prediction")
+    model = fit_pipeline(rows, linear_regression())
+    W.save_model(model, path)
+    kept = model.transform(rows).select("pulocationid", "hour_ts", F.col("prediction").alias("before"))
+    loaded = R.load_model(path).transform(rows).select("pulocationid", "hour_ts", "prediction")
+    both = kept.join(loaded, ["pulocationid", "hour_ts"])
+    return both.agg(F.count("*").alias("n"), F.count_if(F.abs(F.col("before") - F.col("prediction")) < 1e-9).alias("n_equal"))
 
 
 @check("S16_zone_csv_lower", "SELECT location_id, borough, zone, service_zone FROM x4")
