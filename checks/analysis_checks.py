@@ -441,7 +441,7 @@ def _(spark, sf):
 
 @check(
     "J9_with_weather",
-    """SELECT hour_ts, pulocationid, coalesce(temperature_mean, 0) AS temperature_mean, coalesce(precipitation_sum, 0) AS precipitation_sum,
+    """SELECT hour_ts, pulocationid, round(coalesce(temperature_mean, 0), 6) AS temperature_mean, coalesce(precipitation_sum, 0) AS precipitation_sum,
          CAST(coalesce(precipitation_sum, 0) > 0 AS BIGINT) AS is_rainy FROM wide""",
 )
 def _(spark, sf):
@@ -915,7 +915,7 @@ def _(spark, sf):
 @check(
     "M1_build_features_time",
     """SELECT t.hour_ts, t.pulocationid, t.demand AS target_demand, t.demand_lag_1, t.demand_lag_2, t.demand_lag_24,
-         round(t.rolling_mean_3h, 6) AS rolling_mean_3h, hour(t.hour_ts) AS hour, coalesce(w.temperature_mean, 0) AS temperature_mean
+         round(t.rolling_mean_3h, 6) AS rolling_mean_3h, hour(t.hour_ts) AS hour, round(coalesce(w.temperature_mean, 0), 6) AS temperature_mean
        FROM time_lags t JOIN wide w ON t.hour_ts = w.hour_ts AND t.pulocationid = w.pulocationid
        WHERE t.demand_lag_1 IS NOT NULL AND t.demand_lag_2 IS NOT NULL AND t.demand_lag_24 IS NOT NULL AND t.rolling_mean_3h IS NOT NULL""",
 )

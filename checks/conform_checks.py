@@ -483,7 +483,7 @@ def _(spark, sf):
 @check(
     "M21_build_fact",
     f"""SELECT date_trunc('hour', pickup_datetime) AS hour_ts, pulocationid, count(*) AS demand, round(avg(trip_distance), 6) AS avg_trip_distance,
-         round(avg(total_amount), 4) AS avg_total_amount, 64 AS fingerprint_size
+         round(avg(total_amount), 6) AS avg_total_amount, 64 AS fingerprint_size
        FROM conformed WHERE pickup_datetime < dropoff_datetime AND pulocationid NOT IN (264, 265) AND dolocationid NOT IN (264, 265)
          AND trip_distance >= 0 AND total_amount >= 0 AND pickup_datetime >= TIMESTAMP '1998-03-01' AND pickup_datetime < TIMESTAMP '1998-04-01'
        GROUP BY 1, 2""",
@@ -495,7 +495,7 @@ def _(spark, sf):
         "pulocationid",
         "demand",
         F.round("avg_trip_distance", 6).alias("avg_trip_distance"),
-        F.round("avg_total_amount", 4).alias("avg_total_amount"),
+        F.round("avg_total_amount", 6).alias("avg_total_amount"),
         F.length("row_fingerprint").alias("fingerprint_size"),
     )
 

@@ -132,7 +132,7 @@ def x5(spark, sf):
         trips.filter((day + size) % 7 != 0)
         .groupBy(F.to_date("pickup_datetime").alias("date"), "borough")
         .agg(
-            F.round(F.avg("trip_distance") / 2, 4).alias("temperature_mean"),
+            ((F.max("trip_distance") + F.min("trip_distance")) / 4).alias("temperature_mean"),
             F.max(((day * 7 + size * 3) % 15).cast("double")).alias("precipitation_sum"),
             F.round(F.max("trip_distance") / 10, 4).alias("wind_speed_max"),
         )

@@ -38,7 +38,7 @@ def _means_sql(ref: str, live: str) -> str:
 BAND = """CASE WHEN {s} >= 0.8 THEN 'Critical' WHEN {s} >= 0.55 THEN 'High' WHEN {s} >= 0.3 THEN 'Medium' ELSE 'Healthy' END"""
 JULY = f"""m AS ({_means_sql(*HALVES)}), d AS (SELECT *, CASE WHEN r = 0 AND c = 0 THEN 0.0 WHEN r = 0 THEN 1.0
   ELSE least(abs(c - r) / abs(r), 1.0) END AS s FROM m)"""
-FEATURE_DRIFT = f"""SELECT feature, feature_type, round(r, 4) AS reference_value, round(c, 4) AS current_value, round(s, 6) AS drift_score,
+FEATURE_DRIFT = f"""SELECT feature, feature_type, round(r, 6) AS reference_value, round(c, 6) AS current_value, round(s, 6) AS drift_score,
   {BAND.format(s='s')} AS severity FROM d"""
 
 
@@ -51,8 +51,8 @@ def _as_compared(df):
     return df.select(
         "feature",
         "feature_type",
-        F.round("reference_value", 4).alias("reference_value"),
-        F.round("current_value", 4).alias("current_value"),
+        F.round("reference_value", 6).alias("reference_value"),
+        F.round("current_value", 6).alias("current_value"),
         F.round("drift_score", 6).alias("drift_score"),
         "severity",
     )
@@ -80,14 +80,13 @@ LABEL = f"""l AS (SELECT (SELECT avg(target_demand) FROM x3 WHERE {HALVES[0]}) A
 
 @check(
     "M12_label_drift",
-    f"""WITH {LABEL} SELECT 'target_demand' AS label, round(rm, 4) AS reference_mean, round(rs, 4) AS reference_std, rq[1] AS reference_p50,
-          rq[2] AS reference_p90, round(lm, 4) AS live_mean, round(ls, 4) AS live_std, lq[1] AS live_p50, lq[2] AS live_p90,
+    f"""WITH {LABEL} SELECT 'target_demand' AS label, round(rm, 6) AS reference_mean, round(rs, 6) AS reference_std, rq[1] AS reference_p50,
+          rq[2] AS reference_p90, round(lm, 6) AS live_mean, round(ls, 6) AS live_std, lq[1] AS live_p50, lq[2] AS live_p90,
           round(s, 6) AS drift_score, {BAND.format(s='s')} AS severity, s >= 0.3 AS should_alert FROM ld""",
 )
 def _(spark, sf):
     row = D.label_drift(*_july(spark, sf), exact=True)
-    row = X.rounded(row, 4, ("reference_mean", "reference_std", "live_mean", "live_std"))
-    return X.rounded(row, 6, ("drift_score",))
+    return X.rounded(row, 6, ("reference_mean", "reference_std", "live_mean", "live_std", "drift_score"))
 
 
 @check(
@@ -363,13 +362,14 @@ def _(spark, sf):
 
 @check(
     "M10_promotion",
-    f"""WITH {CANDIDATES}, p AS (SELECT * FROM cand WHERE model = 'model_7')
+    f"""WITH {CANDIDATES}, p AS (SELECT * FROM cand WHERE model = (SELECT min(model) FROM cand))
        SELECT c.model, c.val_rmse <= p.val_rmse * 1.01 AND c.val_mae <= p.val_mae * 1.05 AND c.val_smape <= p.val_smape * 1.05 AS approved,
          false AS first_model FROM cand c, p""",
 )
 def _(spark, sf):
     rows = _candidates(spark, sf)
-    return M.promotion(rows, rows.filter("model = 'model_7'")).select("model", "approved", "first_model")
+    current = rows.filter(F.col("model") == rows.agg(F.min("model")).scalar())
+    return M.promotion(rows, current).select("model", "approved", "first_model")
 
 
 @check("W4_rank_by", "SELECT hour_ts, pulocationid, score, row_number() OVER (PARTITION BY hour_ts ORDER BY score DESC, pulocationid) AS rank FROM scored_preds")
@@ -534,7 +534,7 @@ def _(spark, sf):
          UNION ALL SELECT DISTINCT request_id, ts, near_id, 'nearby' FROM pairs WHERE rank <= 4),
        asked AS (SELECT DISTINCT id AS pulocationid, ts AS hour_ts FROM grid),
        {ACTUAL}, {WITH_HISTORY}, served AS ({SERVED})
-       SELECT g.request_id, CAST(g.id AS BIGINT) AS pulocationid, g.source, hour(g.ts) AS hour, coalesce(w.temperature_mean, 0) AS temperature_mean,
+       SELECT g.request_id, CAST(g.id AS BIGINT) AS pulocationid, g.source, hour(g.ts) AS hour, round(coalesce(w.temperature_mean, 0), 6) AS temperature_mean,
          CAST(coalesce(w.precipitation_sum, 0) >= 10 AS BIGINT) AS is_heavy_rain, s.demand_lag_1, s.demand_lag_2, s.demand_lag_24, s.rolling_mean_3h
        FROM grid g LEFT JOIN x4 z ON z.location_id = g.id LEFT JOIN x5 w ON w.borough = z.borough AND w.date = CAST(g.ts AS DATE)
        LEFT JOIN served s ON s.pulocationid = g.id AND s.hour_ts = g.ts""",

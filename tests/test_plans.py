@@ -102,6 +102,8 @@ def test_period_folders_are_pruned_and_hot_ones_split(spark, trips, tmp_path):
     W.write_period(rows, path)
     text = plan(spark.read.parquet(path).filter("year_month = '2024-02'"))
     assert "PartitionFilters: [isnotnull(year_month" in text
+    stored = D.in_window(spark.read.parquet(path), "tpep_pickup_datetime", "2024-02-03", "2024-02-05")
+    assert "PartitionFilters: [isnotnull(year_month" in plan(stored) and stored.count() == 3 * 24 * 60
     before = spark.read.parquet(path).count()
     W.write_period(rows.filter("year_month = '2024-02'").limit(5), path)
     after = spark.read.parquet(path).groupBy("year_month").count().collect()

@@ -29,16 +29,26 @@ def zone_hour_demand(
     )
 
 
+PERIOD = "year_month"
+
+
+def _pruned(df: DataFrame, first: str, last: str) -> DataFrame:
+    """Months ``first`` to ``last`` of a table stored in period folders; others are left as they are."""
+    return df.filter(F.col(PERIOD).between(first, last)) if PERIOD in df.columns else df
+
+
 def in_month(df: DataFrame, ts: str, year: int, month: int) -> DataFrame:
     """Half-open month range on the raw column, so that it reaches the scan."""
-    nxt = f"{year + month // 12}-{month % 12 + 1:02d}-01"
-    return df.filter((F.col(ts) >= typed_time(df, ts, f"{year}-{month:02d}-01")) & (F.col(ts) < typed_time(df, ts, nxt)))
+    this = f"{year}-{month:02d}"
+    nxt = f"{year + month // 12}-{month % 12 + 1:02d}"
+    inside = (F.col(ts) >= typed_time(df, ts, f"{this}-01")) & (F.col(ts) < typed_time(df, ts, f"{nxt}-01"))
+    return _pruned(df, this, this).filter(inside)
 
 
 def in_window(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     """Rows from ``start`` to the end of day ``end``."""
     stop = F.date_add(F.lit(end).cast("date"), 1).cast(df.schema[ts].dataType)
-    return df.filter((F.col(ts) >= typed_time(df, ts, start)) & (F.col(ts) < stop))
+    return _pruned(df, start[:7], end[:7]).filter((F.col(ts) >= typed_time(df, ts, start)) & (F.col(ts) < stop))
 
 
 def row_count(df: DataFrame) -> DataFrame:

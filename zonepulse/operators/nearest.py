@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from math import isqrt
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,8 +24,6 @@ MAX_STRIPS = 2048
 
 def _borders(points: DataFrame, strips: int) -> dict[str, list[float]]:
     """Inner strip borders per axis: at most ``strips`` numbers each."""
-    if strips < 2:
-        return {"x": [], "y": []}
     probs = [i / strips for i in range(1, strips)]
     row = points.agg(*[F.percentile_approx(a, probs, 10 * strips).alias(a) for a in ("x", "y")]).first()
     return {a: sorted({float(v) for v in row[a] or []}) for a in ("x", "y")}
@@ -37,7 +36,8 @@ def _cells(df: DataFrame, borders: dict[str, list[float]]) -> DataFrame:
             df = Bucketizer(splits=splits, inputCol=axis, outputCol=name).transform(df)
             df = df.withColumn(name, F.col(name).cast("int"))
         else:
-            df = df.withColumn(name, F.lit(0))
+            # One strip; tied to the column so that the cell stays a join key.
+            df = df.withColumn(name, F.when(F.col(axis).isNotNull(), 0))
     return df
 
 
@@ -49,7 +49,7 @@ def _reach(borders: dict[str, list[float]], level: int) -> Column:
         inner = borders[axis]
         if not inner:
             continue
-        edges = F.array(*[F.lit(v) for v in inner])
+        edges = F.lit(np.array(inner, dtype="float64"))
         block = F.floor(F.col(cell) / width).cast("int")
         low, high = (block - 1) * width, (block + 2) * width
         ways.append(F.when(low >= 1, F.col(axis) - F.get(edges, low - 1)).otherwise(float("inf")))
@@ -79,7 +79,7 @@ def nearest(points: DataFrame, probes: DataFrame, k: int = 4) -> DataFrame:
     # One more than k, as a probe may itself be among the points of its place.
     kept = points.select("id", "x", "y").withColumn("_n", F.row_number().over(here)).filter(F.col("_n") <= k + 1)
     kept = cut_lineage(kept.drop("_n"))
-    strips = max(1, min(isqrt(kept.count() // PER_CELL), MAX_STRIPS))
+    strips = max(2, min(isqrt(kept.count() // PER_CELL), MAX_STRIPS))
     borders = _borders(kept, strips)
     kept = _cells(kept, borders)
     pending = _cells(probes.select("id", "x", "y").distinct(), borders)

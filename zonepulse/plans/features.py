@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, functions as F
 
 from zonepulse.operators.demand import in_window
@@ -36,9 +38,9 @@ def build_features(
     the window carries no join output. ``lookback`` days before the start feed
     the lags but are not returned.
     """
-    known = fact.filter(F.col("pulocationid").isNotNull()).select("hour_ts", "pulocationid", "demand")
-    early = F.date_sub(F.lit(start).cast("date"), lookback).cast(fact.schema["hour_ts"].dataType)
-    rows = in_window(known.filter(F.col("hour_ts") >= early), "hour_ts", "0001-01-01", end)
+    early = str(date.fromisoformat(start) - timedelta(days=lookback))
+    known = in_window(fact, "hour_ts", early, end).filter(F.col("pulocationid").isNotNull())
+    rows = known.select("hour_ts", "pulocationid", "demand")
     lagged = lag_features(rows, "pulocationid", "hour_ts", "demand", mode, split_days)
     return (
         in_window(lagged, "hour_ts", start, end)
