@@ -452,6 +452,17 @@ def _(spark, sf):
     return X.rounded(N.k_nearest(rows, rows.filter("label = 0"), 4))
 
 
+@check(
+    "J4_nearest_of_every_point",
+    """SELECT c.id, o.id AS near_id, round(sqrt(pow(o.x - c.x, 2) + pow(o.y - c.y, 2)), 6) AS dist,
+         row_number() OVER (PARTITION BY c.id ORDER BY sqrt(pow(o.x - c.x, 2) + pow(o.y - c.y, 2)), o.id) AS rank
+       FROM points c JOIN points o ON c.id <> o.id QUALIFY rank <= 4""",
+)
+def _(spark, sf):
+    rows = X.points(spark, sf)
+    return X.rounded(N.nearest(rows, rows, 4))
+
+
 @check(
     "A27_ring_center",
     """SELECT id, round(list_sum([p[1] FOR p IN ring]) / 32, 6) + 0.0 AS x, round(list_sum([p[2] FOR p IN ring]) / 32, 6) + 0.0 AS y FROM x6""",
