@@ -24,9 +24,12 @@ def wide_agg(df: DataFrame, names: Sequence[str], measures: Mapping[str, object]
     return df.agg(*[make(as_col(n)).alias(f"{m}__{i}") for i, n in enumerate(names) for m, make in measures.items()])
 
 
-def describe(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column, rounded."""
-    quartiles = exact_quantiles(df, cols, (0.25, 0.5, 0.75), interpolate=True)
+def describe(df: DataFrame, cols: Sequence[str], digits: int = 2, quartiles: Mapping | None = None) -> DataFrame:
+    """count, mean, std, min, quartiles and max per column, rounded.
+
+    ``quartiles`` may hold the result of an earlier ``exact_quantiles``.
+    """
+    quartiles = quartiles or exact_quantiles(df, cols, (0.25, 0.5, 0.75), interpolate=True)
     measures = {
         "count": F.count,
         "mean": lambda c: F.round(F.avg(c), digits),
@@ -58,9 +61,9 @@ def top_values(df: DataFrame, col: str, k: int = 15) -> DataFrame:
     return counts.orderBy(F.col("n").desc(), F.col("value").asc()).limit(k)
 
 
-def cap_outliers(df: DataFrame, col: str, q: float = 0.995) -> DataFrame:
+def cap_outliers(df: DataFrame, col: str, q: float = 0.995, quantiles: Mapping | None = None) -> DataFrame:
     """Rows up to the (interpolated) quantile."""
-    cap = exact_quantiles(df, [col], [q], interpolate=True)[col][q]
+    cap = (quantiles or exact_quantiles(df, [col], [q], interpolate=True))[col][q]
     return df.filter(as_col(col) <= F.lit(cap).cast("double"))
 
 

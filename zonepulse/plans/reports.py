@@ -10,6 +10,7 @@ from zonepulse.operators.demand import in_month
 from zonepulse.operators.dims import known_category
 from zonepulse.operators.explore import demand_profile
 from zonepulse.operators.features import add_calendar, join_weather, join_zone
+from zonepulse.operators.quantiles import exact_quantiles
 from zonepulse.sources.readers import split_latest_period
 from zonepulse.sources.sampling import sample_n
 
@@ -20,17 +21,20 @@ def quality_report(fact: DataFrame, weather: DataFrame, year: int, month: int) -
     """All tables of the monthly report, over the whole month rather than a sample."""
     rows = in_month(fact, "hour_ts", year, month).select(*FACT_NUMERIC, "pulocationid", "hour_ts")
     days = in_month(weather, "date", year, month)
+    # One set of counting passes per table serves the quartiles and the outlier caps.
+    wanted = (0.25, 0.5, 0.75, 0.995)
+    of_rows = exact_quantiles(rows, FACT_NUMERIC, wanted, interpolate=True)
+    of_days = exact_quantiles(days, S.WEATHER_COLUMNS, wanted, interpolate=True)
     report = {
-        "fact_describe": P.describe(rows, FACT_NUMERIC),
+        "fact_describe": P.describe(rows, FACT_NUMERIC, quartiles=of_rows),
         "fact_nulls": P.null_rates(rows),
         "top_zones": P.top_values(rows, "pulocationid"),
         "anomalies": P.anomaly_flags(rows),
-        "weather_describe": P.describe(days, S.WEATHER_COLUMNS),
+        "weather_describe": P.describe(days, S.WEATHER_COLUMNS, quartiles=of_days),
     }
-    for c in FACT_NUMERIC:
-        report[f"histogram_{c}"] = P.histogram(P.cap_outliers(rows, c), c)
-    for c in S.WEATHER_COLUMNS:
-        report[f"histogram_{c}"] = P.histogram(P.cap_outliers(days, c), c)
+    for table, columns, quantiles in ((rows, FACT_NUMERIC, of_rows), (days, S.WEATHER_COLUMNS, of_days)):
+        for c in columns:
+            report[f"histogram_{c}"] = P.histogram(P.cap_outliers(table, c, quantiles=quantiles), c)
     return report
 
 
