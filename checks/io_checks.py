@@ -271,6 +271,15 @@ def _(spark, sf):
     return spark.read.schema(S.ZONE).csv(path, header=True)
 
 
+@check("O8_file_count", "SELECT count(*) AS n, 1 AS files FROM x4")
+def _(spark, sf):
+    # The zone dimension as the one file its consumers expect.
+    path = scratch_path(spark, "dim_zone")
+    W.export_csv(X.x4(spark, sf), path, files=1)
+    stored = spark.read.schema(S.ZONE).csv(path, header=True)
+    return stored.agg(F.count("location_id").alias("n"), F.count_distinct(F.input_file_name()).alias("files"))
+
+
 @check(
     "K4_replace_observed_range",
     f"""WITH fresh AS ({NEW_ROWS})
