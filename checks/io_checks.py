@@ -277,7 +277,8 @@ def _(spark, sf):
     path = scratch_path(spark, "dim_zone")
     W.export_csv(X.x4(spark, sf), path, files=1)
     stored = spark.read.schema(S.ZONE).csv(path, header=True)
-    return stored.agg(F.count("location_id").alias("n"), F.count_distinct(F.input_file_name()).alias("files"))
+    named = stored.select("location_id", F.input_file_name().alias("file"))
+    return named.agg(F.count("location_id").alias("n"), F.count_distinct("file").alias("files"))
 
 
 @check(
