@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only if none is configured."""
+    """The cluster's checkpoint folder; where none is set, one below the warehouse, which every executor must see.
+
+    A warehouse on a local disk will do only in local mode.
+    """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current is None:
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="zonepulse-"))
-        current = sc.getCheckpointDir()
-    return configured or current
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not found:
+        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        if found.startswith(("file:", "/")) and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(found)
+    return found
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
