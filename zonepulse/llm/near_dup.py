@@ -4,9 +4,12 @@ Each set of word shingles gets ``bands * rows`` minima. Whole minima make the ba
 are kept, packed sixteen to a long. Sets that share a band key are candidates; the likeness estimated from the bits,
 corrected for chance agreement, discards those that are clearly apart, and the full sets decide.
 
-Equal sets form a class that its smallest id represents, so copies cost one row each. Inside a bucket only one
-member (the pivot) meets the others; while its other members lie in several components, the smallest components send pivots,
-twice as many each round, so no link between components is lost and no bucket lists all its pairs. Buckets of up to ``SMALL`` members are compared at once.
+Equal sets form a class that its smallest id represents, so copies cost one row each. Inside a bucket of more than
+``SMALL`` members only one (the pivot) meets the others, which links most of a group of near copies. Buckets whose members
+then still lie in several components join into clusters; a cluster is dealt into blocks of about ``BLOCK`` members, members of one large
+component together, and each pair of blocks that holds different components is compared in one task on full sets, which
+emits one link for each two components it joins. So no link between components is lost, no pair of documents becomes a row there, and no
+task holds more than two blocks.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonepulse.llm.arrays import ascii_tables, distinct_in_rows, mix, powers, shingle_hashes, slices, small_batches, utf8, word_hashes
@@ -26,6 +29,8 @@ BANDS, ROWS, BITS = 32, 4, 4
 LONGS = BANDS * ROWS * BITS // 64
 #: Members of a bucket that are compared pair by pair.
 SMALL = 4
+#: Members of a block of a cluster.
+BLOCK = 256
 #: Standard errors by which an estimate may lie under the threshold and still be looked at.
 SLACK = 6.0
 
@@ -117,26 +122,100 @@ def estimate(left: str, right: str) -> Column:
     return (agree / (BANDS * ROWS) - chance) / (1 - chance)
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of which 100 * intersection >= percent * union, on full sets."""
+def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that size and estimate do not rule out."""
     t = percent / 100
     floor = t - SLACK * float(np.sqrt(t * (1 - t) / (BANDS * ROWS))) / (1 - 0.5**BITS)
     side = lambda x: reps.select(F.col("class_id").alias(x), F.col("n_shingles").alias("n" + x), F.col("bits").alias("bits_" + x))
-    near = (
+    return (
         pairs.join(side("a"), "a").join(side("b"), "b")
         .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
         .where(estimate("bits_a", "bits_b") >= floor)
         .select("a", "b", "na", "nb")
     )
-    near = stored(near, "candidates")
-    wanted = near.select(F.col("a").alias("id")).unionAll(near.select(F.col("b").alias("id"))).distinct()
-    sets = texts.join(wanted, "id", "left_semi").mapInArrow(_full_sets(width), "id long, members binary")
-    sets = stored(sets.dropDuplicates(["id"]), "sets")
+
+
+def _confirmed(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of which 100 * intersection >= percent * union, on full sets."""
     full = near.join(sets.select(F.col("id").alias("b"), F.col("members").alias("sb")), "b").join(sets.select(F.col("id").alias("a"), F.col("members").alias("sa")), "a")
     counted = full.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_shared, "a long, b long, na long, nb long, both long")
     return counted.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
 
+def intersections(left: list[np.ndarray], right: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of all sets of two blocks, by matrix products over a few thousand members at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)))
+    for at in range(0, len(shared), columns):
+        part = shared[at : at + columns]
+        sides = []
+        for block in (left, right):
+            held = np.zeros((len(block), len(part)), np.float32)
+            for i, s in enumerate(block):
+                place = np.searchsorted(part, s)
+                held[i, place[(place < len(part)) & (part[np.minimum(place, len(part) - 1)] == s)]] = 1
+            sides.append(held)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _joined_blocks(percent: int):
+    """Links between the components of two blocks, one for each two that the links before do not yet join."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side, ids, comp = (table.column(c).to_numpy() for c in ("side", "id", "c"))
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("members")]
+        u = np.flatnonzero(side == 0)
+        v = np.flatnonzero(side == 1) if (side == 1).any() else u
+        size = np.array([len(s) for s in sets], np.float64)
+        both = intersections([sets[i] for i in u], [sets[i] for i in v]).astype(np.float64)
+        linked = (both * 100 >= (size[u][:, None] + size[v][None, :] - both) * percent) & (comp[u][:, None] != comp[v][None, :])
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        out = []
+        for i, j in zip(*np.nonzero(linked), strict=True):
+            x, y = find(int(comp[u[i]])), find(int(comp[v[j]]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((int(min(ids[u[i]], ids[v[j]])), int(max(ids[u[i]], ids[v[j]]))))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return run
+
+
+def _between_components(many: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of different components that share a bucket."""
+    placed = many.join(joined, many.x == joined.node, "left").select("key", "x", F.coalesce("component", "x").alias("c"))
+    mixed = placed.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("x").alias("least")).where("c0 != c1").select("key", "least")
+    open_ = stored(placed.join(mixed, "key").select("x", "c", "least").distinct(), "mixed")
+    clusters = components(open_.select(F.col("x").alias("a"), F.col("least").alias("b")))
+    members = open_.select("x", "c").distinct().join(clusters, F.col("x") == F.col("node")).select("x", "c", F.col("component").alias("cluster"))
+    members = stored(members, "clusters")
+    sizes = members.groupBy("cluster", "c").agg(F.count("*").alias("k"))
+    small = sizes.where(F.col("k") < BLOCK // 2).groupBy("cluster").agg(F.sum("k").alias("rest"))
+    # Components of half a block or more are dealt into blocks of their own, smaller ones share blocks.
+    dealt = members.join(sizes, ["cluster", "c"]).join(small, "cluster", "left")
+    large = F.col("k") >= BLOCK // 2
+    parts = F.ceil(F.when(large, F.col("k")).otherwise(F.col("rest")) / BLOCK)
+    number = F.pmod(F.xxhash64(F.when(large, F.col("x")).otherwise(F.col("c"))), parts)
+    dealt = dealt.select("cluster", "x", "c", F.struct(F.when(large, F.col("c")).alias("own"), number.alias("number")).alias("block"))
+    dealt = stored(dealt, "blocks")
+    blocks = dealt.select("cluster", "block").distinct()
+    order = lambda x: F.struct(F.coalesce(x["own"], F.lit(-1)), x["number"])
+    left, right = blocks.select("cluster", F.col("block").alias("p")), blocks.select("cluster", F.col("block").alias("q"))
+    pairs = left.join(right, "cluster").where(order(F.col("p")) <= order(F.col("q"))).where("p.own IS NULL OR q.own IS NULL OR p.own != q.own")
+    sides = pairs.withColumn("pair", F.struct("cluster", "p", "q")).select("cluster", "pair", F.explode(F.array_distinct(F.array("p", "q"))).alias("block"))
+    sides = sides.select("cluster", "pair", "block", F.when(F.col("block").eqNullSafe(F.col("pair.p")), 0).otherwise(1).alias("side"))
+    key = lambda: F.xxhash64("cluster", F.coalesce("block.own", F.lit(-1)), "block.number")
+    rows = dealt.withColumn("at", key()).join(sides.withColumn("at", key()).select("at", "pair", "side"), "at").join(sets, F.col("x") == F.col("id"))
+    return rows.select("pair", "side", "id", "c", "members").groupBy("pair").applyInArrow(_joined_blocks(percent), "a long, b long")
+
+
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of the members that meet in a bucket."""
     met = left.join(right, "key").where("x != y")
@@ -168,28 +247,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = _pairs(few.select("key", "x"), few.select("key", F.col("x").alias("y"))).unionAll(
         many.where("x != pivot").select(F.col("pivot").alias("a"), F.col("x").alias("b")).distinct()
     )
-    links = stored(_confirmed(pairs.distinct(), reps, texts, width, percent), "links")
+    near = stored(_likely(pairs.distinct(), reps, percent), "candidates")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("id")).unionAll(many.select(F.col("x").alias("id"))).distinct()
+    sets = texts.join(wanted, "id", "left_semi").mapInArrow(_full_sets(width), "id long, members binary")
+    sets = stored(sets.dropDuplicates(["id"]), "sets")
+    links = stored(_confirmed(near, sets, percent), "links")
     joined = stored(components(links), "components")
-    waiting = many.where("x != pivot").select("key", "x")
-    turns = 1
-    while True:
-        # Of each bucket whose waiting members lie in several components, the smallest components send a pivot each.
-        placed = waiting.join(joined, waiting.x == joined.node, "left").select("key", "x", F.coalesce("component", "x").alias("c"))
-        parts = placed.groupBy("key", "c").agg(F.count("*").alias("k"), F.min("x").alias("y"))
-        mixed = parts.groupBy("key").agg(F.count("*").alias("parts")).where("parts > 1").select("key")
-        placed = stored(placed.join(mixed, "key"), "waiting")
-        if placed.isEmpty():
-            break
-        parts = placed.groupBy("key", "c").agg(F.count("*").alias("k"), F.min("x").alias("y"))
-        order = F.row_number().over(Window.partitionBy("key").orderBy("k", "y"))
-        pivots = stored(parts.withColumn("r", order).where(F.col("r") <= turns).select("key", F.col("c").alias("yc"), "y"), "pivots")
-        pairs = placed.join(pivots, "key").where("c != yc").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        new = stored(_confirmed(pairs, reps, texts, width, percent), "links")
-        if not new.isEmpty():
-            links = links.unionAll(new)
-            joined = stored(components(links), "components")
-        waiting = placed.join(pivots.select("key", F.col("y").alias("x")), ["key", "x"], "left_anti").select("key", "x")
-        turns *= 2
+    more = stored(_between_components(many, joined, sets, percent), "links")
+    if not more.isEmpty():
+        joined = stored(components(links.unionAll(more)), "components")
     found = signed.join(classes, ["set_key", "set_check", "n_shingles"], "left").select("id", "n_shingles", F.coalesce("class_id", "id").alias("class_id"))
     found = found.join(joined, found.class_id == joined.node, "left").select("id", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component_id"))
     found = found.withColumn("class_id", F.expr("if(id IS NULL, NULL, class_id)")).withColumn("component_id", F.expr("if(id IS NULL, NULL, component_id)"))
