@@ -41,6 +41,8 @@ def utf8(batch: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray]:
     if not pa.types.is_large_string(column.type):
         column = column.cast(pa.large_string())
     column = column.fill_null("")
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
     ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     flat = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)

@@ -160,20 +160,19 @@ def main_text(html: str | None) -> str:
     ratios = np.array([len(text) / max(1, tags) for _, text, tags in page.lines])
     smooth = smoothed(ratios)
     content = smooth >= SHARE * smooth.std()
-    # Clustered text in each open element.
+    # Clustered text in each open element, and in all.
     mass: dict[int, int] = {}
+    total = 0
     for (path, text, _), inside in zip(page.lines, content, strict=True):
         if inside:
+            total += len(text)
             for n in path:
                 mass[n] = mass.get(n, 0) + len(text)
-    region = None
-    if mass:
-        total = max(mass.values())
-        named = [n for n, m in mass.items() if page.kinds[n] in ("article", "main") and 2 * m > total]
-        # Else the innermost element around nearly all of it.
-        region = max(named) if named else max(n for n, m in mass.items() if m >= 0.9 * total)
-        if not named and page.kinds[region] in ("p", "li", "pre", "td", "blockquote"):
-            region = None
+    # An article that holds most of it, else the innermost element around nearly all of it, else the page.
+    around = [n for n, m in mass.items() if page.kinds[n] in ("article", "main") and 2 * m > total] or [n for n, m in mass.items() if m >= 0.9 * total]
+    region = max(around, default=None)
+    if region is not None and page.kinds[region] in ("p", "li", "pre", "td", "blockquote"):
+        region = None
     return "\n".join(text for path, text, _ in page.lines if region is None or region in path)
 
 

@@ -19,6 +19,7 @@ def range_parts(df: DataFrame, key: str) -> tuple[DataFrame, int]:
     keyed = df.withColumn("as_double", F.coalesce(F.col(key), F.lit(NULL_KEY)).cast("double"))
     steps = [i / parts for i in range(1, parts)]
     borders = sorted(set(keyed.approxQuantile("as_double", steps, 1 / (4 * parts)) if steps else []))
+    borders = borders or [0.0]
     cut = Bucketizer(splits=[-float("inf"), *borders, float("inf")], inputCol="as_double", outputCol="bucket")
     dealt = cut.transform(keyed).withColumn("part", F.col("bucket").cast("int")).drop("as_double", "bucket")
     return dealt, len(borders) + 1
