@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -166,7 +167,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> Non
 
         model = Tokenizer.from_str(definition.value)
         model.encode_special_tokens = True
-        encode = lambda texts: [np.array(e.ids, "<u4").tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+        encode = lambda texts: [array("I", e.ids).tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)]
         cache = PieceCache(encode)
         end = np.array([end_id], "<u4").tobytes()
         held: list[bytes] = []
