@@ -362,14 +362,20 @@ def _(spark, sf):
 
 @check(
     "M10_promotion",
-    f"""WITH {CANDIDATES}, p AS (SELECT * FROM cand WHERE model = (SELECT min(model) FROM cand))
-       SELECT c.model, c.val_rmse <= p.val_rmse * 1.01 AND c.val_mae <= p.val_mae * 1.05 AND c.val_smape <= p.val_smape * 1.05 AS approved,
-         false AS first_model FROM cand c, p""",
+    f"""WITH {CANDIDATES}, p AS (SELECT * FROM cand WHERE model IN (SELECT model FROM cand ORDER BY model LIMIT 3) ORDER BY val_rmse, val_mae, val_smape LIMIT 1),
+       c AS (SELECT * FROM cand UNION ALL SELECT 'unknown', NULL, NULL, NULL UNION ALL SELECT 'half', p.val_rmse, NULL, p.val_smape FROM p)
+       SELECT c.model, coalesce(c.val_rmse <= p.val_rmse * 1.01 AND c.val_mae <= p.val_mae * 1.05 AND c.val_smape <= p.val_smape * 1.05, false) AS approved,
+         false AS first_model FROM c, p""",
 )
 def _(spark, sf):
+    """Several rows in production, and candidates without some or all metrics."""
     rows = _candidates(spark, sf)
-    current = rows.filter(F.col("model") == rows.agg(F.min("model")).scalar())
-    return M.promotion(rows, current).select("model", "approved", "first_model")
+    current = rows.orderBy("model").limit(3)
+    best = current.orderBy("val_rmse", "val_mae", "val_smape").limit(1)
+    none = F.lit(None).cast("double")
+    unknown = best.select(F.lit("unknown").alias("model"), none.alias("val_rmse"), none.alias("val_mae"), none.alias("val_smape"))
+    half = best.select(F.lit("half").alias("model"), "val_rmse", none.alias("val_mae"), "val_smape")
+    return M.promotion(rows.unionAll(unknown).unionAll(half), current).select("model", "approved", "first_model")
 
 
 @check("W4_rank_by", "SELECT hour_ts, pulocationid, score, row_number() OVER (PARTITION BY hour_ts ORDER BY score DESC, pulocationid) AS rank FROM scored_preds")

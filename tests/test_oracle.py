@@ -8,9 +8,7 @@ from checks import ORACLES, QUERIES
 from tests.oracle import compare, connect
 
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-# Model fits; run with CHECK_ALL=1 or through run_checks.py.
-SLOW = {"M5_random_forest", "M6_gbt", "M7_compare_models", "M9_save_model", "S15_load_model", "M18_score_zones", "Q13_quality_report"}
-NAMES = [n for n in QUERIES if n not in SLOW or os.environ.get("CHECK_ALL")]
+NAMES = list(QUERIES)
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
 
 

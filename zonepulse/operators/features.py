@@ -25,12 +25,12 @@ def join_zone(fact: DataFrame, zone: DataFrame, fk: str = "pulocationid") -> Dat
 
 
 def join_weather(df: DataFrame, weather: DataFrame, ts: str = "hour_ts", borough: str = "borough") -> DataFrame:
-    """Daily weather by date and normalised borough."""
+    """Daily weather by date and normalised borough; of several rows for both the least counts."""
     keyed = weather.select(
         F.to_date("date").alias("_date"), normalise("borough").alias("_borough"), *S.WEATHER_COLUMNS
     )
     left = df.withColumns({"_date": F.to_date(ts), "_borough": normalise(borough)})
-    return left.join(keyed, ["_date", "_borough"], "left").drop("_date", "_borough")
+    return left.join(first_per_key(keyed, ["_date", "_borough"]), ["_date", "_borough"], "left").drop("_date", "_borough")
 
 
 def add_calendar(df: DataFrame, ts: str = "hour_ts") -> DataFrame:

@@ -123,7 +123,8 @@ def select_model(metrics: DataFrame, gap: float = 1.0) -> DataFrame:
     """
     rest = [c for c in metrics.columns if c != "val_rmse"]
     row = F.struct("val_rmse", *["model", *[c for c in rest if c != "model"]])
-    ranked = metrics.agg(F.array_sort(F.collect_list(row)).alias("_r"))
+    two = metrics.orderBy(F.asc_nulls_last("val_rmse"), "model").limit(2)
+    ranked = two.agg(F.array_sort(F.collect_list(row)).alias("_r"))
     best, second = F.get("_r", F.lit(0)), F.get("_r", F.lit(1))
     swap = (second["val_rmse"] - best["val_rmse"] < gap) & (second["val_smape"] < best["val_smape"])
     chosen = ranked.select(F.when(F.coalesce(swap, F.lit(False)), second).otherwise(best).alias("_c"))
@@ -131,18 +132,22 @@ def select_model(metrics: DataFrame, gap: float = 1.0) -> DataFrame:
 
 
 def promotion(metrics: DataFrame, production: DataFrame | None = None) -> DataFrame:
-    """Guardrails against the model in production; the first model passes."""
+    """Guardrails against the model in production; the first model passes if all its metrics are known.
+
+    A candidate without a metric fails it. A metric that production lacks passes. Of several production rows the
+    one with the lowest RMSE, then MAE, then SMAPE counts.
+    """
     limits = S.PROMOTION_TOLERANCE
     new = metrics.select("model", *limits)
     if production is None:
         previous = {f"_old_{m}": F.lit(None).cast("double") for m in limits}
         known = F.lit(False)
     else:
-        packed = production.select(F.struct(*limits).alias("_p")).limit(1).scalar()
+        packed = production.orderBy(*[F.asc_nulls_last(m) for m in sorted(limits, key=["val_rmse", "val_mae", "val_smape"].index)]).select(F.struct(*limits).alias("_p")).limit(1).scalar()
         previous = {f"_old_{m}": packed[m] for m in limits}
         known = packed.isNotNull()
     joined = new.withColumns({**previous, "_has": known})
-    checks = {f"{m}_passed": F.coalesce(F.col(m) <= F.col(f"_old_{m}") * t, F.lit(True)) for m, t in limits.items()}
+    checks = {f"{m}_passed": F.col(m).isNotNull() & F.coalesce(F.col(m) <= F.col(f"_old_{m}") * t, F.lit(True)) for m, t in limits.items()}
     out = joined.withColumns(checks)
     approved = F.lit(True)
     for c in checks:

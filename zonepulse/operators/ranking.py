@@ -62,7 +62,7 @@ def _rank(
         return global_row_number(df, order, name)
     sizes = df.groupBy(*part).agg(F.count("*").alias("_n"))
     if (sizes.agg(F.max("_n")).first()[0] or 0) <= window_rows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*part).orderBy(*order)).cast("long"))
     placed = cut_lineage(global_row_number(df, [*[as_col(p).asc() for p in part], *order], "_place"))
     firsts = placed.groupBy(*[as_col(p).alias(f"_g{i}") for i, p in enumerate(part)]).agg(F.min("_place").alias("_first"))
     same = reduce(lambda a, b: a & b, [as_col(p).eqNullSafe(F.col(f"_g{i}")) for i, p in enumerate(part)])

@@ -16,7 +16,7 @@ from zonepulse.functions.text import clean_text
 from zonepulse.operators.dims import fill_weather
 from zonepulse.operators.features import add_calendar, add_cyclical, add_weather_flags, encode_location
 from zonepulse.operators.nearest import nearest
-from zonepulse.operators.ranking import ordered_union, top_n
+from zonepulse.operators.ranking import first_per_key, ordered_union, top_n
 
 
 def selected_zones(requests: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def with_zone_meta(df: DataFrame, zones: DataFrame, zone: str = "pulocationid")
     meta = zones.select(
         as_col("location_id").alias(zone), clean_text("borough").alias("borough"), clean_text("service_zone").alias("service_zone")
     )
-    return df.join(meta, zone, "left")
+    return df.join(first_per_key(meta, [zone]), zone, "left")
 
 
 def scoring_grid(requests: DataFrame, zones: DataFrame, nearby: DataFrame | None = None) -> DataFrame:
@@ -88,6 +88,7 @@ def with_weather(df: DataFrame, weather: DataFrame) -> DataFrame:
         "wind_speed_max",
     )
     keyed = df.withColumns({"_date": F.to_date("hour_ts"), "_borough": F.lower(clean_text("borough"))})
+    daily = first_per_key(daily, ["_date", "_borough"])
     joined = keyed.join(daily, ["_date", "_borough"], "left").drop("_date", "_borough")
     return joined.transform(fill_weather).transform(add_weather_flags)
 

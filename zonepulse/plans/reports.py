@@ -39,9 +39,9 @@ def quality_report(fact: DataFrame, weather: DataFrame, year: int, month: int) -
 
 
 def explore(
-    fact: DataFrame, zone: DataFrame, weather: DataFrame, n: int | None = 1_000_000, seed: int = 42
+    fact: DataFrame, zone: DataFrame, weather: DataFrame, n: int | None = None, seed: int = 42
 ) -> dict[str, DataFrame]:
-    """Mean demand by hour, weekday and borough over a sample (or, with ``n`` None, the whole fact)."""
+    """Mean demand by hour, weekday and borough over the whole fact, or over a sample of ``n`` rows."""
     base = fact.filter(F.col("pulocationid").isNotNull()).select("pulocationid", "hour_ts", "demand")
     rows = base if n is None else sample_n(base, n, seed)
     joined = rows.transform(add_calendar).transform(join_zone, zone).transform(join_weather, weather)

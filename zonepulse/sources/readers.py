@@ -19,8 +19,18 @@ def read_trips(spark: SparkSession, root: str, dataset: str, year: int, month: i
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    """Zone lookup CSV with a fixed schema in place of inference."""
-    return spark.read.schema(S.ZONE_RAW).csv(path, header=True)
+    """Zone lookup CSV by its header, in the order of the fixed layout."""
+    return _by_header(spark, path, S.ZONE_RAW)
+
+
+def _by_header(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
+    """All-string CSV whose columns are found by name, whatever their case or order; text that does not parse is null."""
+    raw = spark.read.csv(path, header=True)
+    found = {c.lower(): c for c in raw.columns}
+    absent = [f.name for f in layout.fields if f.name.lower() not in found]
+    if absent:
+        raise ValueError(f"{path} lacks the columns {absent}")
+    return raw.select(*[as_col(found[f.name.lower()]).try_cast(f.dataType).alias(f.name) for f in layout.fields])
 
 
 def read_zones_lower(spark: SparkSession, path: str) -> DataFrame:
@@ -31,10 +41,7 @@ def read_zones_lower(spark: SparkSession, path: str) -> DataFrame:
 
 def read_weather_csv(spark: SparkSession, path: str) -> DataFrame:
     """All-string CSV, cast afterwards; text that does not parse becomes null."""
-    raw = spark.read.csv(path, header=True)
-    return raw.select(
-        *[as_col(f.name).try_cast(f.dataType).alias(f.name) for f in S.WEATHER.fields if f.name in raw.columns]
-    )
+    return _by_header(spark, path, S.WEATHER)
 
 
 def read_table(spark: SparkSession, name: str, root: str | None = None, jdbc: dict | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Row samples; a cap here is the feature itself."""
+"""Row samples."""
 
 from __future__ import annotations
 
@@ -7,12 +7,17 @@ from math import sqrt
 from pyspark.sql import DataFrame, functions as F
 
 
-def sample_rows(
-    df: DataFrame, frac: float = 0.05, cap: int = 100_000, seed: int = 42, fallback_cap: int = 50_000
-) -> DataFrame:
-    """Bernoulli sample with a row cap; the first rows if the sample comes out empty."""
-    sampled = df.sample(False, frac, seed).limit(cap)
-    return sampled if not sampled.isEmpty() else df.limit(fallback_cap)
+def sample_rows(df: DataFrame, frac: float = 0.05, seed: int = 42, key: list[str] | None = None) -> DataFrame:
+    """A share of the rows, however many that are; with a key the same rows come back every time.
+
+    With a key a row stays if the first eight hexadecimal digits of SHA-256 over seed and key lie in the lowest share.
+    """
+    if not key:
+        return df.sample(False, frac, seed)
+    if frac >= 1:
+        return df
+    digits = F.substring(F.sha2(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]), 256), 1, 8)
+    return df.where(digits < f"{int(frac * 2**32):08x}")
 
 
 def dev_sample(df: DataFrame, frac: float = 1.0, seed: int = 42) -> DataFrame:

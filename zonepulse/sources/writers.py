@@ -37,7 +37,7 @@ def replace_all(df: DataFrame, path: str) -> None:
 def write_table_jdbc(df: DataFrame, url: str, table: str, batch: int = 5000, writers: int = 2, **options) -> None:
     """JDBC append with a bounded number of writers."""
     (
-        df.coalesce(writers)
+        df.repartition(writers)
         .write.format("jdbc")
         .options(url=url, dbtable=table, batchsize=str(batch), **options)
         .mode("append")
