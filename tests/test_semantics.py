@@ -39,68 +39,78 @@ def values(df, *cols):
     return [tuple(r) for r in df.select(*cols).collect()]
 
 
-# --- drift cases of the published unit tests -----------------------------
-
+# --- drift scores and guardrails just below, at and above their borders ---
 
 @pytest.mark.parametrize(
     "ref,cur,want",
-    [(100, 100, 0.0), (100, 150, 0.5), (100, 50, 0.5), (0, 0, 0.0), (0, 5, 1.0), (1, 100, 1.0), (100, 105, 0.05)],
+    [(0.0, 0.0, 0.0), (0.0, -0.001, 1.0), (8.0, 8.0, 0.0), (8.0, 10.0, 0.25), (8.0, 6.0, 0.25), (8.0, 15.9, 0.9875), (8.0, 16.0, 1.0), (8.0, 17.0, 1.0), (8.0, -8.0, 1.0), (-4.0, -3.0, 0.25)],
 )
 def test_relative_shift(spark, ref, cur, want):
-    df = spark.createDataFrame([(float(ref), float(cur))], "r double, c double")
+    df = spark.createDataFrame([(ref, cur)], "r double, c double")
     assert df.select(score.relative_shift("r", "c")).first()[0] == pytest.approx(want)
 
 
-@pytest.mark.parametrize(
-    "s,want",
-    [(0.8, "Critical"), (0.95, "Critical"), (0.55, "High"), (0.7, "High"), (0.3, "Medium"), (0.4, "Medium"), (0.29, "Healthy"), (0.0, "Healthy")],
-)
-def test_severity(spark, s, want):
-    assert spark.range(1).select(score.severity(F.lit(s))).first()[0] == want
+@pytest.mark.parametrize("border,below,above", [(0.30, "Healthy", "Medium"), (0.55, "Medium", "High"), (0.80, "High", "Critical")])
+def test_severity(spark, border, below, above):
+    got = spark.range(1).select(*[score.severity(F.lit(x)).alias(f"s{i}") for i, x in enumerate((border - 1e-9, border, border + 1e-9))]).first()
+    assert list(got) == [below, above, above]
 
 
-@pytest.mark.parametrize("critical,high,want", [(1, 0, True), (0, 2, True), (0, 0, False), (0, 1, False)])
-def test_should_alert(spark, critical, high, want):
-    df = spark.createDataFrame(
-        [(critical, high, None, None)],
-        "critical_count int, high_drift_count int, label_should_alert boolean, model_should_alert boolean",
-    )
-    assert df.select(DR.should_alert()).first()[0] is want
+@pytest.mark.parametrize(
+    "critical,high,label,model,want",
+    [(0, 1, None, None, False), (0, 2, None, None, True), (2, 0, None, None, True), (0, 3, False, False, True), (0, 1, False, False, False), (0, 0, True, None, True), (0, 0, None, True, True), (0, 0, False, None, False)],
+)
+def test_should_alert(spark, critical, high, label, model, want):
+    layout = "critical_count int, high_drift_count int, label_should_alert boolean, model_should_alert boolean"
+    assert spark.createDataFrame([(critical, high, label, model)], layout).select(DR.should_alert()).first()[0] is want
 
 
 @pytest.mark.parametrize(
     "name,kind",
-    [
-        ("target_demand", "numeric_mean_shift"),
-        ("temperature_mean", "numeric_mean_shift"),
-        ("borough_manhattan", "categorical_proportion_shift"),
-        ("nonexistent_feature", "unknown"),
-    ],
+    [("wind_speed_max", "numeric_mean_shift"), ("hour_sin", "numeric_mean_shift"), ("borough_queens", "categorical_proportion_shift"), ("borough", "unknown"), ("", "unknown")],
 )
 def test_feature_kind(spark, name, kind):
     assert spark.range(1).select(score.feature_kind(F.lit(name))).first()[0] == kind
 
 
-@pytest.mark.parametrize(
-    "new,old,approved",
-    [
-        ((5.04, 3.0, 0.15), (5.0, 3.0, 0.15), True),
-        ((5.10, 3.0, 0.15), (5.0, 3.0, 0.15), False),
-        ((5.0, 3.14, 0.15), (5.0, 3.0, 0.15), True),
-        ((5.0, 3.20, 0.15), (5.0, 3.0, 0.15), False),
-        ((5.0, 3.0, 0.157), (5.0, 3.0, 0.15), True),
-        ((4.9, 2.8, 0.14), (5.0, 3.0, 0.15), True),
-        ((4.0, 2.5, 0.10), (5.0, 3.0, 0.15), True),
-        ((4.0, 4.0, 0.10), (5.0, 3.0, 0.15), False),
-    ],
-)
-def test_promotion_guardrails(spark, new, old, approved):
+OLD = {"val_rmse": 20.0, "val_mae": 8.0, "val_smape": 0.5}
+
+
+@pytest.mark.parametrize("metric,tolerance", [("val_rmse", 1.01), ("val_mae", 1.05), ("val_smape", 1.05)])
+@pytest.mark.parametrize("step,approved", [(-1e-6, True), (1e-6, False), (None, False)])
+def test_promotion_guardrails(spark, metric, tolerance, step, approved):
     layout = "model string, val_rmse double, val_mae double, val_smape double"
-    row = M.promotion(spark.createDataFrame([("n", *new)], layout), spark.createDataFrame([("o", *old)], layout)).first()
+    new = OLD | {metric: None if step is None else OLD[metric] * tolerance + step}
+    production = spark.createDataFrame([("worse", 40.0, 9.0, 0.9), ("best", *OLD.values())], layout)
+    row = M.promotion(spark.createDataFrame([("n", *new.values())], layout), production).first()
     assert row["approved"] is approved
     assert row["decision"] == ("register_model" if approved else "skip_registration")
 
 
+def test_metrics_that_only_one_side_lacks(spark):
+    layout = "model string, val_rmse double, val_mae double, val_smape double"
+    new = spark.createDataFrame([("n", 19.0, 8.0, 0.5)], layout)
+    assert M.promotion(new, spark.createDataFrame([("o", 20.0, None, 0.5)], layout)).first()["approved"]
+    assert not M.promotion(spark.createDataFrame([("n", None, None, None)], layout)).first()["approved"]
+
+
+def test_csv_columns_are_found_by_header(spark, tmp_path):
+    (tmp_path / "zones.csv").write_text("zone,BOROUGH,LocationID,service_zone\nHill,Queens,7,Boro\n")
+    assert R.read_zones(spark, str(tmp_path / "zones.csv")).first().asDict() == {"LocationID": 7, "Borough": "Queens", "Zone": "Hill", "service_zone": "Boro"}
+    (tmp_path / "short.csv").write_text("date,Borough\n2024-01-01,Queens\n")
+    with pytest.raises(ValueError, match="temperature_mean"):
+        R.read_weather_csv(spark, str(tmp_path / "short.csv"))
+
+
+def test_dimension_joins_do_not_multiply_rows(spark):
+    zones = spark.createDataFrame([(1, "Bronx", "a"), (1, "Bronx ", "b")], "location_id int, borough string, service_zone string")
+    rows = spark.createDataFrame([(1, at(5, 9))], "pulocationid int, hour_ts timestamp")
+    assert Z.with_zone_meta(rows, zones).count() == 1
+    weather = spark.createDataFrame([(dt.date(2024, 1, 5), 1.0, 2.0, 3.0, b) for b in ("Bronx", "bronx ")], S.WEATHER)
+    assert Z.with_weather(rows.withColumn("borough", F.lit("BRONX")), weather).count() == 1
+    assert FT.join_weather(rows.withColumn("borough", F.lit("BRONX")), weather).count() == 1
+
+
 def test_first_model_is_approved(spark):
     new = spark.createDataFrame([("n", 1.0, 1.0, 1.0)], "model string, val_rmse double, val_mae double, val_smape double")
     row = M.promotion(new).first()

@@ -45,6 +45,9 @@ def assembler(features: Sequence[str] = S.FEATURES, invalid: str = "skip"):
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid=invalid)
 
 
+# The settings of the three estimators.
+
+
 def linear_regression():
     from pyspark.ml.regression import LinearRegression
 

@@ -67,10 +67,11 @@ def cap_outliers(df: DataFrame, col: str, q: float = 0.995, quantiles: Mapping |
     return df.filter(as_col(col) <= F.lit(cap).cast("double"))
 
 
-def _value_range(df: DataFrame, col: str) -> Column:
-    """struct(lo, hi) of a column as a scalar subquery."""
+def _value_range(df: DataFrame, col: str) -> dict[str, Column]:
+    """Least and greatest value of a column as literals: one pass over the source, however often they are used."""
     c = as_col(col).cast("double")
-    return df.agg(F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias("r")).scalar()
+    lo, hi = df.agg(F.min(c), F.max(c)).first()
+    return {"lo": F.lit(lo).cast("double"), "hi": F.lit(hi).cast("double")}
 
 
 def _with_empty_bins(counts: DataFrame, bins: int, key: str) -> DataFrame:
