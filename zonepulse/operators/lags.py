@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from zonepulse.functions.columns import as_col
 from zonepulse.functions.score import mean_nonzero
 from zonepulse.functions.time import dow_sun0, epoch, hour_bucket, wrap
+from zonepulse.operators.demand import PERIOD
 
 SPLIT_DAYS = 31
 HOUR = 3600
@@ -164,6 +165,18 @@ def lag_features(
     return (row_features if mode == "rows" else time_features)(df, zone, ts, value, split_days)
 
 
+def _spanned(fact: DataFrame, at: DataFrame, ts: str, back: int) -> DataFrame:
+    """Fact rows from ``back`` hours before the first requested hour to the last; the bounds are one-row subqueries."""
+    kind = fact.schema[ts].dataType
+    lo = _plus_hours(hour_bucket(F.min(ts)), -back)
+    hi = hour_bucket(F.max(ts))
+    inside = (F.col(ts) >= at.agg(lo.cast(kind)).scalar()) & (F.col(ts) <= at.agg(hi.cast(kind)).scalar())
+    if PERIOD in fact.columns:
+        month = [at.agg(F.date_format(x, "yyyy-MM")).scalar() for x in (lo, hi)]
+        inside &= F.col(PERIOD).between(*month)
+    return fact.filter(inside)
+
+
 def lags_at_offsets(
     fact: DataFrame, at: DataFrame, zone: str, ts: str, value: str = "demand", hours: Sequence[int] = (1, 2, 24)
 ) -> DataFrame:
@@ -171,9 +184,11 @@ def lags_at_offsets(
 
     Requests are de-duplicated and spread over the few hours they can touch,
     so the fact is met by an equi-join on (zone, hour). Fact times are whole
-    hours; a request may lie between them.
+    hours; a request may lie between them. The fact is cut to the hours that the
+    requests span, so its scan skips row groups and period folders outside.
     """
     wanted = at.select(zone, ts).distinct()
+    fact = _spanned(fact, at, ts, max(3, *hours))
     offsets = F.array(*[F.lit(h) for h in sorted({0, 1, 2, 3, *hours})])
     probes = wanted.withColumn("_h", F.explode(offsets)).withColumn(
         "_hour", hour_bucket(ts) - F.make_dt_interval(hours=F.col("_h"))
