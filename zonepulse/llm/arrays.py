@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 #: Rows of one Arrow batch; a batch then holds at most as many texts, however long they are.
 BATCH_ROWS = 512
 #: Bytes of text that one numpy pass handles; a longer text is a pass of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 18
 
 MULTIPLIER = 0x9E3779B97F4A7C15
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
@@ -23,7 +23,10 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with about ``limit`` bytes of text each; rows stay whole."""
+    """Consecutive parts of a batch with about ``limit`` bytes of text each; rows stay whole.
+
+    Memory that Arrow holds for reuse goes back after each batch, as idle workers of earlier stages would keep it.
+    """
     size = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
     at, held = 0, 0
     for i, n in enumerate(size):
@@ -33,6 +36,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
         held += int(n)
     if at < len(size):
         yield batch.slice(at)
+    pa.default_memory_pool().release_unused()
 
 
 def utf8(batch: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray]:
