@@ -14,6 +14,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -147,6 +148,19 @@ class Shard:
         return now
 
 
+@lru_cache(maxsize=1)
+def _encoder(definition: str) -> PieceCache:
+    """The tokenizer and what it has made of pieces so far; kept by a Python worker from one task to the next."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_str(definition)
+    model.encode_special_tokens = True
+    return PieceCache(lambda texts: [array("I", e.ids).tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)])
+
+
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> None:
     """Encode every text of (doc_id, text), append ``end_id`` to each, and write the shards in ascending doc_id order.
 
@@ -160,15 +174,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> Non
         definition = spark.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        model = Tokenizer.from_str(definition.value)
-        model.encode_special_tokens = True
-        encode = lambda texts: [array("I", e.ids).tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)]
-        cache = PieceCache(encode)
+        cache = _encoder(definition.value)
         end = np.array([end_id], "<u4").tobytes()
         held: list[bytes] = []
         names: list[int | None] = []
