@@ -267,6 +267,19 @@ def test_main_text(spark):
     assert main_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_main_text_without_head_end():
+    body = "<article><p>First line of the article.</p><p>Second line of the article.</p></article>"
+    want = "First line of the article.\nSecond line of the article."
+    heads = [
+        "<head><title>x</title></head><body>", "<head><title>x</title><body>", "<head><title>x</title>", "<head><meta charset=a><noscript><link></noscript><body>",
+        "<head><title>x</title><div></head><body>", "<head><div class=ad><span></head><body>", "<head><title>x<body>", "<head><noscript><p></head><body>", "<head><style>p{}</style><template><div></head>",
+    ]
+    for head in heads:
+        assert main_text.main_text(f"<html>{head}{body}</body></html>") == want, head
+    assert main_text.main_text("<head><title>x</title>Only text") == "Only text"
+    assert main_text.main_text("<head><title>x</title><img src=a>Only text") == "Only text"
+
+
 def test_preferences(spark):
     rows = [
         (0, 0, "user", "hi"), (0, 1, "assistant", "yo"), (0, 2, "user", "q"), (0, 300, "assistant", "a"), (1, 0, "user", "hi"), (1, 1, "assistant", "yo"),

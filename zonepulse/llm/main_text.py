@@ -43,6 +43,8 @@ CLOSES = {t: frozenset(["p"]) for t in BLOCKS - {"body", "html", "tbody", "td",
     "li": frozenset(["li", "p"]), "dt": frozenset(["dt", "dd", "p"]), "dd": frozenset(["dt", "dd", "p"]), "tr": frozenset(["tr", "td", "th", "p"]),
     "td": frozenset(["td", "th", "p"]), "th": frozenset(["td", "th", "p"]), "option": frozenset(["option"]),
 }
+#: Elements that may stand in a head; any other ends it, as its end tag may be left out.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 #: Elements beyond which an implied end does not reach.
 SCOPE = frozenset("ul ol dl table article section div main aside nav form footer header blockquote body td th".split())
 SIGMA, SHARE = 1.0, 0.5
@@ -88,7 +90,17 @@ class Lines(HTMLParser):
             self.lines.append((tuple(n for t, n, _ in self.open if t in BLOCKS), text, self.tags))
         self.text, self.tags = [], 0
 
+    def _end_head(self, tag: str | None) -> None:
+        """Close the head if text (None) or this start tag cannot stand in it; a first body also closes what stands before it."""
+        if tag == "body" and all(t != "body" for t, _, _ in self.open):
+            if not self.skipped:
+                self.flush()
+            self._close(next((i for i, (t, _, _) in enumerate(self.open) if t != "html"), len(self.open)))
+        elif self.open and self.open[-1][0] == "head" and tag not in IN_HEAD:
+            self._close(len(self.open) - 1)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._end_head(tag)
         if tag in BLOCKS and not self.skipped:
             self.flush()
         for closed in CLOSES.get(tag, ()):
@@ -131,10 +143,12 @@ class Lines(HTMLParser):
                 self._close(i)
                 return
             # An inline end tag does not close blocks.
-            if tag not in BLOCKS and self.open[i][0] in SCOPE:
+            if tag not in BLOCKS and tag != "head" and self.open[i][0] in SCOPE:
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._end_head(None)
         if not self.skipped:
             self.text.append(data)
 
