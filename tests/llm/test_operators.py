@@ -280,6 +280,19 @@ def test_main_text_without_head_end():
     assert main_text.main_text("<head><title>x</title><img src=a>Only text") == "Only text"
 
 
+def test_main_text_keeps_all_clusters():
+    rng = random.Random(3)
+    long, short, lead, title = words(rng, 60), words(rng, 40), words(rng, 8), words(rng, 4)
+    pages = [
+        (f"<main><article><p>{long}</p></article><article><p>{short}</p></article></main>", [long, short]),
+        (f"<main><h1>{title}</h1><p>{lead}</p><article><p>{long}</p><p>{short}</p></article></main>", [title, lead, long, short]),
+        (f"<div><h1>{title}</h1><p>{lead}</p><div class=body><p>{long}</p><p>{long}</p><p>{short}</p></div></div>", [title, lead, long, long, short]),
+        (f"<article><p>{long}</p></article><div><p>{short}</p></div>", [long, short]),
+    ]
+    for page, want in pages:
+        assert main_text.main_text(f"<html><body><nav>Home</nav>{page}<footer>foot</footer></body></html>") == "\n".join(want), page
+
+
 def test_preferences(spark):
     rows = [
         (0, 0, "user", "hi"), (0, 1, "assistant", "yo"), (0, 2, "user", "q"), (0, 300, "assistant", "a"), (1, 0, "user", "hi"), (1, 1, "assistant", "yo"),

@@ -2,8 +2,8 @@
 
 The standard library's parser streams a page as events. Block elements break it into lines; each line has a count of
 text characters and of tags. The ratios of text to tags are smoothed with a Gaussian kernel along the page, and lines above a
-threshold (a share of the standard deviation over all lines) form clusters. The element that holds most of the clustered text is the
-content region, and the lines inside it are the main text. Parts that are never content (navigation, scripts, forms,
+threshold (a share of the standard deviation over all lines) form clusters. The innermost element around all clusters is the
+content region, and the lines inside it are the main text, so no clustered line is lost. Parts that are never content (navigation, scripts, forms,
 adverts, notices, comments and the like) are left out before, by element, role, or name in class or id.
 """
 
@@ -47,6 +47,8 @@ CLOSES = {t: frozenset(["p"]) for t in BLOCKS - {"body", "html", "tbody", "td",
 IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 #: Elements beyond which an implied end does not reach.
 SCOPE = frozenset("ul ol dl table article section div main aside nav form footer header blockquote body td th".split())
+#: Elements that hold a piece of text and are no content region.
+PIECES = frozenset("h1 h2 h3 h4 h5 h6 p li pre td blockquote dt dd figcaption".split())
 SIGMA, SHARE = 1.0, 0.5
 NAME = re.compile(r"[a-z0-9]+")
 
@@ -174,19 +176,13 @@ def main_text(html: str | None) -> str:
     ratios = np.array([len(text) / max(1, tags) for _, text, tags in page.lines])
     smooth = smoothed(ratios)
     content = smooth >= SHARE * smooth.std()
-    # Clustered text in each open element, and in all.
-    mass: dict[int, int] = {}
-    total = 0
-    for (path, text, _), inside in zip(page.lines, content, strict=True):
-        if inside:
-            total += len(text)
-            for n in path:
-                mass[n] = mass.get(n, 0) + len(text)
-    # An article that holds most of it, else the innermost element around nearly all of it, else the page.
-    around = [n for n, m in mass.items() if page.kinds[n] in ("article", "main") and 2 * m > total] or [n for n, m in mass.items() if m >= 0.9 * total]
-    region = max(around, default=None)
-    if region is not None and page.kinds[region] in ("p", "li", "pre", "td", "blockquote"):
-        region = None
+    # Elements around all clustered text, without those that are only a piece of text.
+    around: list[int] = []
+    for level in zip(*(path for (path, _, _), inside in zip(page.lines, content, strict=True) if inside), strict=False):
+        if len(set(level)) > 1:
+            break
+        around.append(level[0])
+    region = next((n for n in reversed(around) if page.kinds[n] not in PIECES), None)
     return "\n".join(text for path, text, _ in page.lines if region is None or region in path)
 
 
