@@ -293,6 +293,26 @@ def test_main_text_keeps_all_clusters():
         assert main_text.main_text(f"<html><body><nav>Home</nav>{page}<footer>foot</footer></body></html>") == "\n".join(want), page
 
 
+def test_main_text_names_in_content():
+    rest = "<p>" + words(random.Random(2), 40) + "</p>"
+    kept = [
+        '<h2 id="related-work">Kept words</h2>', '<h2 id="search-algorithms">Kept words</h2>', '<h3 id="legal-status">Kept words</h3>', '<p id="comment-on-method">Kept words</p>',
+        '<div class="side-by-side">Kept words</div>', '<header class="entry-header"><h1>Kept words</h1></header>', '<h2 class="header">Kept words</h2>',
+        '<p class="notice">Kept words</p>', '<div class="alert">Kept words</div>', '<section id="login"><p>Kept words</p></section>', '<p>Kept <span class="comment">words</span></p>',
+    ]
+    for part in kept:
+        for outer in ("article", "main"):
+            found = main_text.main_text(f"<body><{outer}>{rest}{part}{rest}</{outer}></body>")
+            assert found.split("\n")[1] == "Kept words", part
+    for part in kept[:5]:
+        assert "Kept words" in main_text.main_text(f"<body><div class='content no-sidebar'>{rest}{part}{rest}</div></body>"), part
+    gone = ['<div class="ad">Gone</div>', '<section class="related">Gone</section>', '<div class="comments-area">Gone</div>', '<div id="comments">Gone</div>', '<ul class="x share">Gone</ul>', '<a class="ad">Gone</a>']
+    for part in gone:
+        assert "Gone" not in main_text.main_text(f"<body><article>{rest}{part}{rest}</article></body>"), part
+    for part in [*gone, '<div class="cookie-banner">Gone</div>', '<div id="search">Gone</div>', '<div class="site-header">Gone</div>', '<td class="sidebar">Gone</td>']:
+        assert "Gone" not in main_text.main_text(f"<body><div>{rest}{part}{rest}</div></body>"), part
+
+
 def test_preferences(spark):
     rows = [
         (0, 0, "user", "hi"), (0, 1, "assistant", "yo"), (0, 2, "user", "q"), (0, 300, "assistant", "a"), (1, 0, "user", "hi"), (1, 1, "assistant", "yo"),

@@ -29,13 +29,27 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset("head title script style noscript template nav aside footer form button select textarea input svg math iframe object canvas audio video map menu dialog search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar toolbar dialog alert alertdialog".split())
-#: A class or id with one of these among its words marks boilerplate.
+#: One of these as a class (or put together with others and with NEUTRAL words) or as the id of a container marks boilerplate.
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion "
     "nav navbar navigation menu menus breadcrumb breadcrumbs pager pagination toc toolbar header masthead topbar footer foot sidebar side aside rail widget widgets "
     "cookie cookies consent gdpr notice notices banner alert popup modal overlay newsletter subscribe subscription signup login "
     "comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations form search skip copyright legal".split()
 )
+NEUTRAL = frozenset("site area container wrapper box slot".split())
+#: Those that no piece of content is called either; they count everywhere but in the TEXTS of an article.
+ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsored sponsors".split())
+#: Those that also style parts of an article, and do not count inside it.
+AMBIGUOUS = frozenset(
+    "header banner side rail notice notices alert form search legal copyright foot footer overlay modal popup reply "
+    "navigation pagination toolbar menu menus login signup subscribe subscription promotion".split()
+)
+#: Ids that mark boilerplate inside an article or on a section, where others are made from headings.
+PLAIN_IDS = frozenset("ad ads adsense sidebar comments commentlist respond disqus disqus_thread".split())
+#: Elements that make up the layout of a page.
+CONTAINERS = frozenset("center details div dl fieldset figure li ol section table tbody td tfoot th thead tr ul".split())
+#: Elements of running text, and headings; inside an article they are content whatever they are called.
+TEXTS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup p pre blockquote figcaption dt dd".split())
 #: Elements whose names in class or id do not matter, as they hold the whole page.
 OUTER = frozenset(["html", "body", "main", "article"])
 #: Elements that a start tag closes when they are open, as the standard leaves their end tags out.
@@ -53,8 +67,25 @@ SIGMA, SHARE = 1.0, 0.5
 NAME = re.compile(r"[a-z0-9]+")
 
 
+def _named(tag: str, key: str, value: str, inside: bool) -> bool:
+    """Whether a class or id marks boilerplate; ``inside`` an article or main element only the unambiguous ones do."""
+    if tag in OUTER or inside and tag in TEXTS:
+        return False
+    if tag not in CONTAINERS:
+        return not ADVERTS.isdisjoint(value.split())
+    if key == "id":
+        return value.strip() in (PLAIN_IDS if inside or tag == "section" else NAMES)
+    names = NAMES - AMBIGUOUS if inside else NAMES
+    for token in value.split():
+        words = {w for w in NAME.findall(token) if not w.isdigit()} - NEUTRAL
+        if words and words <= NAMES and not words.isdisjoint(names):
+            return True
+    return False
+
+
 def _boilerplate(tag: str, attrs: list[tuple[str, str | None]], around: list[tuple[str, int, bool]]) -> bool:
-    if tag in NEVER or tag == "header" and not any(t in ("article", "main") for t, _, _ in around):
+    inside = any(t in ("article", "main") for t, _, _ in around)
+    if tag in NEVER or tag == "header" and not inside:
         return True
     for key, value in attrs:
         value = (value or "").lower()
@@ -62,7 +93,7 @@ def _boilerplate(tag: str, attrs: list[tuple[str, str | None]], around: list[tup
             return True
         if key == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if key in ("class", "id") and tag not in OUTER and not NAMES.isdisjoint(NAME.findall(value)):
+        if key in ("class", "id") and _named(tag, key, value, inside):
             return True
     return False
 
