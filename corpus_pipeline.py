@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonepulse.llm.bpe import encode_texts
-from zonepulse.llm.decontaminate import contaminated
+from zonepulse.llm.decontaminate import clean
 from zonepulse.llm.near_dup import near_duplicates
 from zonepulse.llm.repeats import remove_repeats
 from zonepulse.llm.scratch import stored
@@ -25,27 +25,37 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not call toxic. It learns from the labels of these documents."""
+    """Rows that the classifier does not call toxic, each by its own text. It learns from the labels of these documents."""
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return passed(docs, model).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near duplicates: five-word shingles, likeness 0.8 or more."""
-    found = near_duplicates(docs, width=5, percent=80).where("NOT kept").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of near duplicates: five-word shingles, likeness 0.8 or more.
+
+    Every row stands for itself, under a row number written with its text, so different texts that share a doc_id are judged
+    apart. The smallest doc_id of a group stays, one without doc_id only where all have none; of rows that share that doc_id,
+    repeated rows included, one stays. Null, empty and blank texts equal nothing and all stay.
+    """
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), *COLUMNS), "rows")
+    found = near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"), width=5, percent=80).select(F.col("doc_id").alias("row"), "component_id")
+    placed = found.join(rows.select("row", F.col("doc_id").cast("long").alias("doc_id")), "row")
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    return rows.join(first.select("first.row"), "row", "left_semi").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages of 200 bytes or more that also stand elsewhere."""
+    """All rows, without the passages of 200 bytes or more that also stand elsewhere, in the same row or another.
+
+    Copies of a passage go in all places. Whole copies of a document would go so too; the stage before has left one of them.
+    """
     cut = remove_repeats(docs, PASSAGE, keep=["doc_id", "lang", "source"], text_out=True)
     return cut.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.char_length("kept_text").cast("long").alias("n_chars"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not cover half of a benchmark item."""
-    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
+    """Rows whose own text does not cover half of a benchmark item, whatever their doc_id and whoever shares it."""
+    return clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

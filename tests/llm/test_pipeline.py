@@ -34,6 +34,29 @@ def test_stages_take_effect(spark, tmp_path):
     assert {r["doc_id"] for r in last.collect()} == set(left)
 
 
+def test_stages_judge_rows_apart(spark, tmp_path):
+    rng = random.Random(9)
+    item = words(rng, 30)
+    clean = [words(rng, 80) for _ in range(12)]
+    near = clean[4] + " more"
+    leak, other_leak = words(rng, 40) + " " + item, words(rng, 45) + " " + item
+    rows = [
+        (1, clean[1]), (1, clean[1]), (1, clean[1]), (None, clean[2]), (None, clean[2]), (None, clean[3]), (3, clean[3]), (4, clean[4]), (5, near), (5, clean[5]), (6, clean[6]), (6, leak), (None, other_leak),
+        (None, clean[7]), (None, ""), (None, ""), (8, None), (8, None), (8, clean[8]), (9, clean[8]),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    count = lambda rows: sorted((str(i), str(t)) for i, t in rows)
+    left = [(1, clean[1]), (None, clean[2]), (3, clean[3]), (4, clean[4]), (5, clean[5]), (6, clean[6]), (None, clean[7]), (None, ""), (None, ""), (8, None), (8, None), (8, clean[8])]
+    docs = stored(corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path)), "stage")
+    assert count(docs.select("doc_id", "text").collect()) == count([*left, (6, leak), (None, other_leak)])
+    leaks = corpus_pipeline.drop_leaks(spark, docs, str(tmp_path))
+    assert leaks.columns == COLUMNS and count(leaks.select("doc_id", "text").collect()) == count(left)
+    cut = corpus_pipeline.cut_repeats(spark, leaks, str(tmp_path))
+    assert count(cut.select("doc_id", "text").collect()) == count((i, t or "") for i, t in left)
+
+
 def test_stages_on_no_rows(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -163,24 +164,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     match; null or empty texts have no words. A null doc_id stays null; repeated rows give repeated results; other columns are
     ignored. Tiling is greedy, so coverage is that of the tiles it chose.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    items = items.groupBy("text").agg(F.min("item_id").alias("item_id"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // BLOCK_BYTES))
+    small_batches(docs.sparkSession)
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
-    for block in range(blocks):
-        # About BLOCK_BYTES of item text.
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        seeds = spark.sparkContext.broadcast(Seeds.of([(r["item_id"], r["text"]) for r in rows]))
+    for seeds in _blocks(benchmark):
 
         def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
             s = seeds.value
             for batch in batches:
                 for part in slices(batch, "text"):
-                    found = list(_match(part, s, coverage))
+                    ids = part.column("doc_id")
+                    found = [(ids[row].as_py(), *rest) for row, *rest in _match(part, s, coverage)]
                     if found:
                         columns = list(zip(*found, strict=True))
                         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
@@ -191,7 +185,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     return out
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    """Rows of docs (all columns) that cover no benchmark item to ``coverage``; each row's own text decides, nothing is joined."""
+    small_batches(docs.sparkSession)
+    names, schema = docs.columns, docs.schema
+    for seeds in _blocks(benchmark):
+
+        def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
+            s = seeds.value
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    keep = np.ones(part.num_rows, bool)
+                    keep[[row for row, *_ in _match(part, s, coverage)]] = False
+                    yield part.filter(pa.array(keep)).select(names)
+
+        docs = docs.mapInArrow(run, schema)
+    return docs
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[Broadcast]:
+    """The seeds of each block of the distinct items."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    items = items.groupBy("text").agg(F.min("item_id").alias("item_id"))
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    for block in range(blocks):
+        # About BLOCK_BYTES of item text.
+        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
+        yield spark.sparkContext.broadcast(Seeds.of([(r["item_id"], r["text"]) for r in rows]))
+
+
 def _match(part: pa.RecordBatch, seeds: Seeds, coverage: float) -> Iterator[tuple]:
+    """(row, item_id, coverage, n_tiles, longest) of each row and item that it covers far enough."""
     words, rows = tokens(part)
     if not len(seeds.keys) or len(words) < MIN_MATCH:
         return
@@ -199,7 +225,6 @@ def _match(part: pa.RecordBatch, seeds: Seeds, coverage: float) -> Iterator[tupl
     inside = rows[: len(keys)] == rows[MIN_MATCH - 1 :]
     at = np.searchsorted(seeds.keys, keys)
     hit = np.flatnonzero(inside & (seeds.keys[np.minimum(at, len(seeds.keys) - 1)] == keys))
-    ids = part.column("doc_id")
     for row in np.unique(rows[hit]):
         mine = hit[np.searchsorted(rows[hit], row) : np.searchsorted(rows[hit], row, side="right")]
         chosen = seeds.candidates(np.unique(keys[mine]), coverage)
@@ -209,4 +234,4 @@ def _match(part: pa.RecordBatch, seeds: Seeds, coverage: float) -> Iterator[tupl
                 tiles = tile(seeds.words[k], doc)
                 share = sum(n for _, _, n in tiles) / len(seeds.words[k])
                 if share >= coverage:
-                    yield ids[int(row)].as_py(), seeds.ids[k], share, len(tiles), max(n for _, _, n in tiles)
+                    yield int(row), seeds.ids[k], share, len(tiles), max(n for _, _, n in tiles)
