@@ -107,3 +107,26 @@ def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from zonepulse.llm.repeats import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
+@query
+def op11_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from zonepulse.llm.alignment import alignment_scores
+
+    return alignment_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op12_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from zonepulse.llm.license_scan import license_labels
+
+    return license_labels(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from zonepulse.llm.runs import periodic_runs, planted
+
+    return periodic_runs(table(spark, sf_dir, "documents"), planted).drop("n_words", "runs")
