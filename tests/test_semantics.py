@@ -500,6 +500,60 @@ def test_nearest_matches_brute_force(spark, shape):
     assert got == brute(pts, probes, 4)
 
 
+@pytest.mark.parametrize("shape", ["near line", "clusters", "outliers", "heavy side"])
+def test_nearest_pairs_are_bounded(spark, shape):
+    """At most 32 * k pairs for each point, and no cell holds more than it may, whatever the points look like."""
+    import random
+
+    rng, n, k = random.Random(11), 1500, 4
+    make = {
+        "uniform": lambda i: (rng.random(), rng.random()),
+        "line": lambda i: (float(i), 3.0),
+        "near line": lambda i: (float(i), rng.random()),
+        "clusters": lambda i: (i % 7 * 1e4 + rng.gauss(0, 1), i % 5 * 1e6 + rng.gauss(0, 1e-3)),
+        "outliers": lambda i: (rng.gauss(0, 1), rng.gauss(0, 1)) if i % 100 else (1e9 * rng.random(), -1e9 * rng.random()),
+        "heavy side": lambda i: (5.0, rng.random()) if i % 50 else (rng.random(), rng.random()),
+    }[shape]
+    pts = [(i, *make(i)) for i in range(n)]
+    points = spark.createDataFrame(pts, "id bigint, x double, y double")
+    tree = N.build_tree(points, k + 1)
+    assert tree.points.count() == n
+    assert tree.points.groupBy("node").count().agg(F.max("count")).first()[0] <= 3 * (k + 1)
+    first, second = N.candidates(tree, points.select("x", "y"), ["x", "y"], k + 1)
+    assert first.count() + second.count() <= 32 * n * k
+    got = {}
+    for r in N.nearest(points, points.filter("id % 10 = 0"), k).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["near_id"])
+    assert got == brute(pts, [p for p in pts if p[0] % 10 == 0], k)
+
+
+def test_nearest_allowed_per_group(spark):
+    """Each group bars its own points; a group that bars all costs nothing, ties go to the lower id, missing places are left out."""
+    import random
+
+    rng = random.Random(3)
+    pts = [(i, float(rng.randint(0, 30)), float(rng.randint(0, 30))) for i in range(400)]
+    points = spark.createDataFrame([*pts, (900, None, 1.0)], "id bigint, x double, y double")
+    bars = {1: {3}, 2: set(range(0, 400, 2)), 3: set(range(400)), 4: set(range(398)), 5: {7, 900}, None: {5, 6}}
+    named = spark.createDataFrame([(g, i) for g, ids in bars.items() for i in sorted(ids)], "group bigint, id bigint")
+    found = N.nearest_allowed(points, named.join(points, "id"), named, 4)
+    got = {}
+    for r in found.orderBy("group", "id", "rank").collect():
+        got.setdefault((r["group"], r["id"]), []).append(r["near_id"])
+    want = {}
+    for g, ids in bars.items():
+        rest = [p for p in pts if p[0] not in ids]
+        for i in ids - {900}:
+            want[g, i] = brute(rest, [pts[i]], 4)[i]
+    assert got == {key: ids for key, ids in want.items() if ids}
+    tree = N.build_tree(points.filter("x IS NOT NULL"), 4)
+    probes = named.join(points, "id").filter("x IS NOT NULL")
+    first, second = N.candidates(tree, probes.filter("group = 3"), ["group", "id", "x", "y"], 4, named)
+    assert first.count() == second.count() == 0
+    first, second = N.candidates(tree, probes.filter("group = 2"), ["group", "id", "x", "y"], 4, named)
+    assert first.count() + second.count() <= 32 * 200 * 4
+
+
 def test_nearest_skips_selected_and_small_catalogues(spark):
     points = spark.createDataFrame([(1, 0.0, 0.0), (2, 1.0, 0.0), (3, 2.0, 0.0)], "id bigint, x double, y double")
     chosen = spark.createDataFrame([(1,), (2,), (77,)], "id bigint")

@@ -15,7 +15,7 @@ from zonepulse.functions.score import demand_score
 from zonepulse.functions.text import clean_text
 from zonepulse.operators.dims import fill_weather
 from zonepulse.operators.features import add_calendar, add_cyclical, add_weather_flags, encode_location
-from zonepulse.operators.nearest import nearest
+from zonepulse.operators.nearest import nearest_allowed
 from zonepulse.operators.ranking import first_per_key, ordered_union, top_n
 
 
@@ -29,17 +29,13 @@ def selected_zones(requests: DataFrame) -> DataFrame:
 def nearby_zones(requests: DataFrame, centers: DataFrame, k: int = 4) -> DataFrame:
     """(request_id, ts, id): the nearest zones of each named zone that the request does not name.
 
-    Neighbours depend on the zone alone, so they are found once per zone, with
-    as many spare ones as a request can name, and filtered inside the row.
+    What a request names is barred for its zones inside the search, which passes over cells that hold nothing else; so a
+    request for all zones costs no pair, whatever other requests ask for.
     """
-    named = requests.select("request_id", "ts", "zone_ids", F.explode(F.array_distinct("zone_ids")).alias("id"))
-    longest = requests.agg(F.max(F.size(F.array_distinct("zone_ids")))).first()[0] or 0
-    probes = centers.join(named.select("id").distinct(), "id", "left_semi")
-    near = nearest(centers, probes, k + max(longest - 1, 0))
-    open_ = named.join(near, "id").filter(~F.array_contains("zone_ids", F.col("near_id")))
-    order = Window.partitionBy("request_id", "id").orderBy("rank")
-    kept = open_.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k)
-    return kept.select("request_id", "ts", F.col("near_id").alias("id")).distinct()
+    named = selected_zones(requests.select(F.struct("request_id", "ts").alias("request_id"), "ts", "zone_ids"))
+    named = named.select(F.col("request_id").alias("group"), "id").distinct()
+    near = nearest_allowed(centers, named.join(centers, "id"), named, k)
+    return near.select("group.request_id", "group.ts", F.col("near_id").alias("id")).distinct()
 
 
 def with_zone_meta(df: DataFrame, zones: DataFrame, zone: str = "pulocationid") -> DataFrame:

@@ -32,3 +32,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives lost executors and fixes row placement."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str = "part") -> DataFrame:
+    """Written to the shared folder and read again: as ``cut_lineage``, and the planner knows its size, so that it broadcasts what is small."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
