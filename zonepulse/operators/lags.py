@@ -33,12 +33,12 @@ def _plus_hours(ts: Column, hours: int) -> Column:
 def _row_halo(df: DataFrame, zone: str, ts: str, value: str, depth: int, split_days: int) -> DataFrame:
     """(zone, ts, value, _span, _halo): the rows, and before each span the ``depth`` rows that precede it.
 
-    Only the last ``depth`` rows of a span can be looked back to. They are cut
-    out before the exchange, and one zone holds one short list per span.
+    The rows are dealt out once, before they part into both uses, so the source is read once. Only the last ``depth`` rows of a span can be looked back to. They are cut
+    out, and one zone holds one short list per span.
     """
     spans = df.select(
-        as_col(zone).alias(zone), as_col(ts).alias(ts), as_col(value).alias(value), _span(as_col(ts), split_days).alias("_span")
-    )
+        as_col(zone), as_col(ts), as_col(value), _span(as_col(ts), split_days).alias("_span")
+    ).repartition(zone, "_span")
     latest = Window.partitionBy(zone, "_span").orderBy(F.col(ts).desc())
     tails = (
         spans.withColumn("_rn", F.row_number().over(latest))
@@ -54,7 +54,7 @@ def _row_halo(df: DataFrame, zone: str, ts: str, value: str, depth: int, split_d
         .select(zone, "_span", F.explode(F.slice("_before", F.greatest(F.size("_before") - depth + 1, F.lit(1)), depth)).alias("_row"))
         .select(zone, F.col("_row")[ts].alias(ts), F.col("_row")[value].alias(value), "_span", F.lit(True).alias("_halo"))
     )
-    return spans.withColumn("_halo", F.lit(False)).unionByName(halo)
+    return spans.withColumn("_halo", F.lit(False)).unionByName(halo.repartition(zone, "_span"))
 
 
 def _with_row_windows(df: DataFrame, zone: str, ts: str, value: str, depth: int, split_days: int | None, make) -> DataFrame:
@@ -76,6 +76,15 @@ def _with_row_windows(df: DataFrame, zone: str, ts: str, value: str, depth: int,
     return out.select(*[as_col(c) for c in df.columns], *[as_col(c) for c in columns])
 
 
+def latest_rows(df: DataFrame, zone: str, ts: str, depth: int = 24) -> DataFrame:
+    """The last ``depth`` rows of each zone; every task sends at most that many of a zone.
+
+    Kept rows and new ones go in together, so a state of last rows grows by merging.
+    """
+    latest = Window.partitionBy(zone).orderBy(F.col(ts).desc())
+    return df.withColumn("_rn", F.row_number().over(latest)).filter(F.col("_rn") <= depth).drop("_rn")
+
+
 def lag_rows(
     df: DataFrame,
     zone: str,

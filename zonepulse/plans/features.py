@@ -21,7 +21,6 @@ from zonepulse.operators.features import (
 )
 from zonepulse.operators.lags import SPLIT_DAYS, lag_features
 
-
 def build_features(
     fact: DataFrame,
     zone: DataFrame,
@@ -31,16 +30,21 @@ def build_features(
     mode: str = "rows",
     lookback: int = 0,
     split_days: int | None = SPLIT_DAYS,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """Fact and dimensions to model features for ``[start, end]`` days.
 
     Lags are taken first, on four narrow columns, so the one wide exchange of
     the window carries no join output. ``lookback`` days before the start feed
-    the lags but are not returned.
+    the lags but are not returned; ``carried`` rows (hour_ts, pulocationid, demand) from before
+    the start do so too, without a read of earlier facts: the last 24 of each zone are all that row lags need.
     """
     early = str(date.fromisoformat(start) - timedelta(days=lookback))
     known = in_window(fact, "hour_ts", early, end).filter(F.col("pulocationid").isNotNull())
     rows = known.select("hour_ts", "pulocationid", "demand")
+    if carried is not None:
+        earlier = carried.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema.fields])
+        rows = rows.unionByName(earlier.filter(F.col("hour_ts") < F.lit(early).cast("date")))
     lagged = lag_features(rows, "pulocationid", "hour_ts", "demand", mode, split_days)
     return (
         in_window(lagged, "hour_ts", start, end)

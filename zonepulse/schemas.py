@@ -76,6 +76,16 @@ FACT = _layout(
     """
 )
 
+# Rows kept from one feature run for the lags of the next.
+LAST_ROWS = _layout(
+    """
+    hour_ts timestamp
+    pulocationid int
+    demand long
+    as_of date
+    """
+)
+
 WEATHER = _layout(
     """
     date date
