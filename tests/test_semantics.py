@@ -606,10 +606,32 @@ def test_build_fact_cleans_and_signs(spark):
     assert I.tampered_count(fact, "key").first()["n"] == 0
 
 
-def test_ranks_inside_groups_too_big_for_a_window(spark):
-    df = spark.range(3000).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 4).alias("g"), (F.col("id") % 11).alias("s"))
-    order = [F.col("s").desc(), F.col("id").asc()]
-    small = K._rank(df, ["g"], order, "rank")
-    big = K._rank(df, ["g"], order, "rank", window_rows=10)
-    assert small.schema["rank"].dataType == big.schema["rank"].dataType
-    assert small.exceptAll(big).count() == 0
+@pytest.mark.parametrize("groups", [1, 3, 40, 2000])
+def test_ranks_of_groups_of_any_size(spark, groups):
+    """Groups over many ranges, small ones within one, a null group, nulls and NaN among the scores, ties; no window gets a large group whole."""
+    from pyspark.sql import Window
+
+    n = 4000
+    number = F.col("id") % groups
+    df = spark.range(n).select(
+        "id", F.when(number != 1, number).alias("g"),
+        F.when(F.col("id") % 17 == 0, None).when(F.col("id") % 19 == 0, float("nan")).otherwise((F.col("id") * 7 % 11).cast("double")).alias("s"),
+        (F.col("id") % 5).cast("int").alias("i"),
+    )
+    for within in (["g"], []):
+        for score_ in ("s", "i"):
+            w = Window.partitionBy(*within).orderBy(F.col(score_).desc(), "id")
+            want = df.withColumn("rank", F.row_number().over(w).cast("long"))
+            got = K.rank_by(df, score_, "id", within)
+            assert got.schema["rank"].dataType == want.schema["rank"].dataType
+            assert got.exceptAll(want).count() == 0 and got.count() == n
+    near = K.rank_within(df, ["g"], "s", "id")
+    assert near.exceptAll(df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy("s", "id")).cast("long"))).count() == 0
+    with pytest.raises(TypeError):
+        K.rank_by(df.withColumn("t", F.lit("x")), "t", "id")
+
+
+def test_rank_places_lie_between_borders(spark):
+    borders = F.array(*[F.lit(x) for x in range(0, 100, 2)])
+    rows = spark.range(-3, 110).select("id", K._place(F.col("id").cast("int"), borders).alias("p")).collect()
+    assert all(r["p"] == sum(b < r["id"] for b in range(0, 100, 2)) for r in rows)

@@ -139,3 +139,74 @@ def test_drift_runs_are_stored_whole(spark, tables, tmp_path, monkeypatch):
         with pytest.raises(RuntimeError):
             stored.store_drift_run(spark, root, {**report, "features": report["features"].limit(1)})
     assert [sorted(map(str, df.collect())) for df in stored.read_drift(spark, root)] == before
+
+
+def test_history_by_month_equals_the_whole(spark, tables, tmp_path):
+    from zonepulse.operators import lags as L
+
+    root, fact = str(tmp_path / "history"), tables[0]
+    stored.store_history(spark, root, fact.filter("hour_ts < '2024-03-01'"))
+    stored.store_history(spark, root, fact.filter("hour_ts >= '2024-02-01'").withColumn("demand", F.lit(3).cast("long")))
+    before = V.current(spark, root)
+    stored.store_history(spark, root, fact.filter("hour_ts >= '2024-02-01'"))
+    assert before.folders[stored.HISTORY]["2024-01"] == V.current(spark, root).folders[stored.HISTORY]["2024-01"]
+    want = {tuple(r)[:3]: r["avg_demand"] for r in L.hour_dow_history(fact, "pulocationid", "hour_ts").collect()}
+    got = {tuple(r)[:3]: r["avg_demand"] for r in stored.read_history(spark, root).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    asked = spark.createDataFrame([(1, day(3, 31, 7)), (2, day(4, 2, 5)), (9, day(4, 2, 5))], "pulocationid int, hour_ts timestamp_ntz")
+    kept = L.serving_lags(asked, fact, history=stored.read_history(spark, root))
+    for x, y in zip(sorted(kept.collect()), sorted(L.serving_lags(asked, fact).collect()), strict=True):
+        assert x[:2] == y[:2] and x[2:] == pytest.approx(y[2:])
+
+
+def test_densify_with_a_stray_time(spark):
+    from zonepulse.operators.demand import densify
+
+    rows = [(1, day(1, 1, 3), 5), (1, day(1, 2, 1), 6), (1, dt.datetime(2090, 1, 1, 0), 7), (2, day(1, 1, 5), 8), (3, None, 9)]
+    fact = spark.createDataFrame(rows, "pulocationid int, hour_ts timestamp_ntz, demand long")
+    full = densify(fact)
+    want = int((dt.datetime(2090, 1, 1) - day(1, 1, 3)).total_seconds() // 3600) + 1
+    assert {r[0]: r[1] for r in full.groupBy("pulocationid").count().collect()} == {1: want, 2: 1}
+    head = full.filter("pulocationid = 1").orderBy("hour_ts").limit(24).collect()
+    assert [r["hour_ts"] for r in head] == [day(1, 1, 3) + dt.timedelta(hours=i) for i in range(24)]
+    assert [r["demand"] for r in head] == [5, *[0] * 21, 6, 0]
+    assert full.agg(F.sum("demand")).first()[0] == 26
+
+
+def test_drift_from_kept_summaries(spark, tables, tmp_path):
+    """Months kept one by one give the report of the rows, without reading them; ranks of the label's percentiles are close."""
+    root = str(tmp_path / "summaries")
+    features = build_features(*tables, "2024-01-01", "2024-03-31").withColumn("prediction", F.col("target_demand") + F.lit(2.0)).cache()
+    for month in (1, 2, 3):
+        stored.store_summaries(spark, root, features.filter(F.month("hour_ts") == month))
+    kept, direct = stored.drift_of_month(spark, root, "2024-03", baseline=1.0), reports.drift_report(features, "2024-03", baseline=1.0)
+    assert kept.keys() == direct.keys() == {"summary", "features", "coverage", "label", "model"}
+    for name in ("features", "coverage", "model", "summary"):
+        key = "feature" if "feature" in direct[name].columns else direct[name].columns[0]
+        for x, y in zip(kept[name].orderBy(key).collect(), direct[name].orderBy(key).collect(), strict=True):
+            for u, v in zip(x, y, strict=True):
+                assert u == pytest.approx(v, rel=1e-9, abs=1e-9) if isinstance(u, float) else u == v
+    assert direct["model"].first()["live_rmse"] == pytest.approx(2.0)
+    old, new = kept["label"].first(), reports.drift_report(features, "2024-03", exact=True)["label"].first()
+    for name in ("reference_mean", "reference_std", "live_mean", "live_std", "drift_score"):
+        assert old[name] == pytest.approx(new[name], rel=1e-9)
+    demand = {live: sorted(r[0] for r in features.filter((F.month("hour_ts") == 3) == F.lit(live)).select("target_demand").collect()) for live in (False, True)}
+    for name, live in (("reference", False), ("live", True)):
+        for p, share in (("p50", 0.5), ("p90", 0.9)):
+            v, n = old[f"{name}_{p}"], len(demand[live])
+            assert sum(x < v for x in demand[live]) / n - 0.02 <= share <= sum(x <= v for x in demand[live]) / n + 0.02
+
+
+def test_drift_of_empty_sides(spark, tables):
+    features = build_features(*tables, "2024-01-01", "2024-01-31")
+    row = reports.drift_report(features, "2024-01", at="2024-01-01")["label"].first()
+    assert row["reference_mean"] == 0.0 and row["live_mean"] > 0 and row["drift_score"] == 1.0
+    assert reports.drift_report(features.limit(0), "2024-01", at="2024-01-01")["summary"].first()["critical_count"] == 0
+
+
+def test_drift_export_keeps_lists(spark, tmp_path):
+    from zonepulse.sources.writers import export_drift
+
+    frame = spark.createDataFrame([("a", [1, 2], {"k": 1})], "name string, list array<int>, map map<string,int>")
+    export_drift({"x": frame}, str(tmp_path / "out"))
+    assert tuple(spark.read.csv(str(tmp_path / "out/x"), header=True).first()) == ("a", "[1,2]", '{"k":1}')

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from zonepulse.functions.columns import as_col
-from zonepulse.functions.time import hour_bucket, month_end, month_start, shift_months, typed_time
+from zonepulse.functions.time import epoch, hour_bucket, month_end, month_start, shift_months, typed_time
 
 MEASURES = {"avg_trip_distance": "trip_distance", "avg_total_amount": "total_amount"}
 
@@ -59,11 +59,18 @@ def time_bounds(df: DataFrame, ts: str) -> DataFrame:
     return df.agg(F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
 
 
-def densify(fact: DataFrame, zone: str = "pulocationid", ts: str = "hour_ts", value: str = "demand") -> DataFrame:
-    """Every hour between a zone's first and last, absent ones with value 0."""
-    span = fact.groupBy(zone).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    hours = F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 hour"))).alias(ts)
-    grid = span.select(zone, hours)
+def densify(fact: DataFrame, zone: str = "pulocationid", ts: str = "hour_ts", value: str = "demand", split_hours: int = 744) -> DataFrame:
+    """Every hour between a zone's first and last, absent ones with value 0.
+
+    A zone's time is cut into stretches of ``split_hours``, which are dealt out before their hours are made, so one
+    stray time far away makes many small pieces rather than one long row.
+    """
+    ends = fact.groupBy(zone).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
+    hours = F.floor((epoch("_hi") - epoch("_lo")) / 3600)
+    cut = ends.withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor(hours / split_hours)))).repartition(zone, "_part")
+    first = F.col("_part") * split_hours
+    offset = F.explode(F.sequence(first, F.least(first + split_hours - 1, hours)))
+    grid = cut.withColumn("_hour", offset).select(zone, (F.col("_lo") + F.make_dt_interval(hours=F.col("_hour").cast("int"))).cast(fact.schema[ts].dataType).alias(ts))
     return grid.join(fact, [zone, ts], "left").fillna({value: 0})
 
 

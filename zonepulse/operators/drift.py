@@ -178,7 +178,11 @@ def model_drift(
 ) -> DataFrame:
     """Live error against the baseline. Without a model the frame must hold ``prediction``."""
     scored = live if model is None else model.transform(live)
-    errors = regression_error(scored, label, "prediction")
+    return model_drift_of(regression_error(scored, label, "prediction"), baseline)
+
+
+def model_drift_of(errors: DataFrame, baseline: float = S.BASELINE_RMSE) -> DataFrame:
+    """The row of ``model_drift`` from (rmse, mae, smape)."""
     ratio = (F.col("rmse") - baseline) / baseline if baseline > 0 else F.lit(0.0)
     return errors.select(
         F.lit(float(baseline)).alias("baseline_rmse"),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from zonepulse.functions.columns import as_col
 from zonepulse.functions.score import mean_nonzero
-from zonepulse.functions.time import dow_sun0, epoch, hour_bucket, wrap
+from zonepulse.functions.time import date_trunc, dow_sun0, epoch, hour_bucket, wrap
 from zonepulse.operators.demand import PERIOD
 
 SPLIT_DAYS = 31
@@ -217,6 +217,21 @@ def hour_dow_history(fact: DataFrame, zone: str, ts: str, value: str = "demand")
     )
 
 
+def history_sums(fact: DataFrame, zone: str, ts: str, value: str = "demand") -> DataFrame:
+    """(zone, hour_of_day, day_of_week, data_month, total, n): what the means of ``hour_dow_history`` are made of, by month.
+
+    Sums of months add up, so a new month is one small aggregation of its own facts.
+    """
+    slot = [as_col(zone).alias(zone), F.hour(ts).alias("hour_of_day"), dow_sun0(ts).alias("day_of_week"), date_trunc("month", ts).cast("date").alias("data_month")]
+    return fact.groupBy(*slot).agg(F.sum(as_col(value).cast("double")).alias("total"), F.count(as_col(value)).alias("n"))
+
+
+def history_means(sums: DataFrame, zone: str) -> DataFrame:
+    """``hour_dow_history`` from the sums of any months."""
+    merged = sums.groupBy(zone, "hour_of_day", "day_of_week").agg((F.sum("total") / F.nullif(F.sum("n"), F.lit(0))).alias("avg_demand"))
+    return merged
+
+
 def history_fallbacks(at: DataFrame, history: DataFrame, zone: str, ts: str) -> DataFrame:
     """Historical means for each requested slot: h-1, h-2, h-3 on the weekday, h on the day before."""
     wanted = at.select(zone, ts).distinct()
@@ -260,8 +275,12 @@ def with_history_fallback(lags: DataFrame, history: DataFrame, zone: str, ts: st
     )
 
 
-def serving_lags(requests: DataFrame, fact: DataFrame, zone: str = "pulocationid", ts: str = "hour_ts") -> DataFrame:
-    """Lag features for requested (zone, time) pairs, with historical fallback."""
-    return with_history_fallback(
-        lags_at_offsets(fact, requests, zone, ts), hour_dow_history(fact, zone, ts), zone, ts
-    )
+def serving_lags(
+    requests: DataFrame, fact: DataFrame, zone: str = "pulocationid", ts: str = "hour_ts", history: DataFrame | None = None
+) -> DataFrame:
+    """Lag features for requested (zone, time) pairs, with historical fallback.
+
+    With ``history`` (the means, kept by month as sums) the fact is read for the requested hours only.
+    """
+    means = hour_dow_history(fact, zone, ts) if history is None else history
+    return with_history_fallback(lags_at_offsets(fact, requests, zone, ts), means, zone, ts)

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from zonepulse import schemas as S
+from zonepulse.functions.time import date_trunc
 from zonepulse.operators.demand import in_window
-from zonepulse.operators.lags import latest_rows
+from zonepulse.operators.lags import history_means, history_sums, latest_rows
+from zonepulse.operators.summaries import summarise
 from zonepulse.plans.features import build_features
+from zonepulse.plans.reports import drift_from_summaries
 from zonepulse.sources import versions as V
 from zonepulse.sources.replace import replace_children, set_where, upsert
 
+HISTORY, SUMMARIES = "hour_dow_sums", "feature_summaries"
 FEATURES, STATE, SUMMARY, DRIFT_ROWS = "pickup_features", "last_rows", "drift_run_summary", "drift_feature_stats"
 #: A state table is one folder, rewritten as a whole; it holds at most a few rows per zone.
 STATE_TIME = "as_of"
@@ -40,6 +44,18 @@ def store_features(spark: SparkSession, root: str, fact: DataFrame, zone: DataFr
     return V.publish(spark, root, old, changes)
 
 
+def store_history(spark: SparkSession, root: str, fact: DataFrame, zone: str = "pulocationid", ts: str = "hour_ts") -> V.Version:
+    """Sums of the months in ``fact``, which must hold them whole, in place of what was kept of them; other months stay."""
+    old = V.current(spark, root)
+    known = fact.filter(F.col(ts).isNotNull())
+    return V.publish(spark, root, old, {HISTORY: V.stage(history_sums(known, zone, ts), root, HISTORY, "data_month")})
+
+
+def read_history(spark: SparkSession, root: str, zone: str = "pulocationid", first: str | None = None, last: str | None = None) -> DataFrame:
+    """Mean demand by zone, hour and weekday over the kept months (``first`` to ``last``)."""
+    return history_means(V.read_version(spark, root, HISTORY, S.HISTORY_SUMS, first=first, last=last), zone)
+
+
 def store_drift_run(spark: SparkSession, root: str, report: dict[str, DataFrame]) -> V.Version:
     """Summary and feature rows of one run, published together.
 
@@ -70,6 +86,19 @@ def mark_triggered(spark: SparkSession, root: str, month: str, value: bool = Tru
     return V.publish(spark, root, old, {SUMMARY: V.stage(changed, root, SUMMARY, "data_month")})
 
 
+def store_summaries(spark: SparkSession, root: str, features: DataFrame, ts: str = "hour_ts", label: str = "target_demand") -> V.Version:
+    """Summaries of the months in ``features``, which must hold them whole, in place of what was kept of them."""
+    usable, _ = S.usable_features(features, features, S.MONITORED_FEATURES)
+    timed = features.filter(F.col(ts).isNotNull())
+    rows = summarise(timed, {"data_month": date_trunc("month", ts).cast("date")}, usable, label)
+    return V.publish(spark, root, V.current(spark, root), {SUMMARIES: V.stage(rows, root, SUMMARIES, "data_month")})
+
+
+def drift_of_month(spark: SparkSession, root: str, month: str, **options) -> dict[str, DataFrame]:
+    """The drift run of a month from kept summaries; no feature row is read."""
+    return drift_from_summaries(V.read_version(spark, root, SUMMARIES, S.FEATURE_SUMMARY, last=month), month, **options)
+
+
 def read_drift(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Summary and feature rows of all stored runs, of one version."""
     version = V.current(spark, root)

@@ -86,6 +86,31 @@ LAST_ROWS = _layout(
     """
 )
 
+HISTORY_SUMS = _layout(
+    """
+    pulocationid int
+    hour_of_day int
+    day_of_week int
+    data_month date
+    total double
+    n long
+    """
+)
+
+_SUM = T.StructType([T.StructField("feature", T.StringType()), T.StructField("n", T.LongType()), T.StructField("total", T.DoubleType())])
+_SPREAD = T.StructType([T.StructField("n", T.LongType()), T.StructField("mean", T.DoubleType()), T.StructField("m2", T.DoubleType()), T.StructField("sketch", T.BinaryType())])
+_ERRORS = T.StructType([T.StructField("n", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("squares", "absolute", "shares")]])
+# Mergeable summary of a month of features.
+FEATURE_SUMMARY = T.StructType(
+    [
+        T.StructField("data_month", T.DateType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("features", T.ArrayType(_SUM)),
+        T.StructField("label", _SPREAD),
+        T.StructField("errors", _ERRORS),
+    ]
+)
+
 WEATHER = _layout(
     """
     date date

@@ -46,10 +46,10 @@ def write_table_jdbc(df: DataFrame, url: str, table: str, batch: int = 5000, wri
 
 
 def export_drift(report: dict[str, DataFrame], path: str) -> None:
-    """One CSV folder per drift frame."""
+    """One CSV folder per drift frame; lists, structs and maps become JSON text, as a CSV field holds text only."""
     for name, frame in report.items():
-        flat = frame.select(*[as_col(f.name) for f in frame.schema.fields if f.dataType.typeName() != "array"])
-        export_csv(flat, f"{path.rstrip('/')}/{name}")
+        nested = {f.name: F.to_json(as_col(f.name)) for f in frame.schema.fields if f.dataType.typeName() in ("array", "struct", "map")}
+        export_csv(frame.withColumns(nested) if nested else frame, f"{path.rstrip('/')}/{name}")
 
 
 def save_model(model, path: str) -> None:
