@@ -10,9 +10,10 @@ from checks.analysis_checks import ACTUAL, SERVED, WITH_HISTORY
 from checks.registry import check
 from zonepulse import schemas as S
 from zonepulse.functions import geometry as G
-from zonepulse.operators import drift as D, model as M, nearest as N, ranking as K, scoring as Z, shapes as H
+from zonepulse.operators import drift as D, model as M, nearest as N, ranking as K, ridge as R, scoring as Z, shapes as H
 from zonepulse.plans import serving
 from zonepulse.plans.reports import drift_report
+from zonepulse.sources.readers import load_model
 from zonepulse.sources.shared import scratch_path
 from zonepulse.sources.writers import export_drift, save_model
 
@@ -306,9 +307,39 @@ def _fitted(spark, sf, estimator):
 FITTED = "SELECT count(*) AS n, count(*) AS n_predicted, true AS beats_mean FROM features"
 
 
-@check("M4_linear_regression", FITTED)
+def ridge_sql(rows: str, features, label: str, penalty: float, name: str) -> str:
+    """CTEs that solve the normal equations of a ridge fit on ``rows``, one elimination step each; ``name`` has b0 (intercept), b1 ..."""
+    d = len(features)
+    cols = [f"covar_pop({features[i]}, {features[j]})" + (f" + var_pop({features[i]}) * {penalty} / stddev_pop({label})" if i == j else "") + f" AS a{i}_{j}" for i in range(d) for j in range(d)]
+    cols += [f"covar_pop({f}, {label}) AS r{i}" for i, f in enumerate(features)] + [f"avg({f}) AS m{i}" for i, f in enumerate(features)] + [f"avg({label}) AS my"]
+    steps = [f"{name}_0 AS (SELECT {', '.join(cols)} FROM {rows})"]
+    for p in range(d):
+        row = lambda i, x, p=p: x if i == p else f"{x} - a{i}_{p} / a{p}_{p} * {x.replace(f'a{i}_', f'a{p}_').replace(f'r{i}', f'r{p}')}"
+        made = [f"{row(i, f'a{i}_{j}')} AS a{i}_{j}" for i in range(d) for j in range(d)] + [f"{row(i, f'r{i}')} AS r{i}" for i in range(d)]
+        steps.append(f"{name}_{p + 1} AS (SELECT {', '.join([*made, *(f'm{i}' for i in range(d)), 'my'])} FROM {name}_{p})")
+    weights = [f"r{i} / a{i}_{i} AS b{i + 1}" for i in range(d)]
+    free = " - ".join(["my", *(f"r{i} / a{i}_{i} * m{i}" for i in range(d))])
+    steps.append(f"{name} AS (SELECT {', '.join([*weights, f'{free} AS b0'])} FROM {name}_{d})")
+    return ", ".join(steps)
+
+
+LAGS = list(S.LAG_COLUMNS)
+LAG_FIT = "{n}.b0 + " + " + ".join(f"{{n}}.b{i + 1} * {c}" for i, c in enumerate(LAGS))
+
+
+@check(
+    "M4_linear_regression",
+    f"""WITH {ridge_sql("features", LAGS, "target_demand", 0.1, "fit")},
+       w AS (SELECT unnest({[*LAGS, 'intercept']}) AS feature, unnest([{', '.join(f'b{i + 1}' for i in range(len(LAGS)))}, b0]) AS weight FROM fit)
+       SELECT m AS method, feature, round(weight, 6) + 0.0 AS weight FROM w, (SELECT unnest(['iterated', 'normal equations']) AS m)""",
+)
 def _(spark, sf):
-    return _fitted(spark, sf, M.linear_regression())
+    """The candidate's weights, and those of the one-pass fit."""
+    rows = X.features(spark, sf)
+    model = M.fit_pipeline(rows, M.linear_regression(), LAGS).stages[-1]
+    found = [("iterated", f, float(w)) for f, w in zip([*LAGS, "intercept"], [*model.coefficients, model.intercept], strict=True)]
+    found += [("normal equations", f, w) for f, w in R.ridge(rows, LAGS, "target_demand", 0.1).items()]
+    return X.rounded(spark.createDataFrame(found, "method string, feature string, weight double"))
 
 
 @check("M5_random_forest", FITTED)
@@ -321,7 +352,32 @@ def _(spark, sf):
     return _fitted(spark, sf, M.gbt())
 
 
-@check("M7_compare_models")
+CUTS = """cuts AS (SELECT quantile_disc(epoch(hour_ts), 0.70) AS c1, quantile_disc(epoch(hour_ts), 0.85) AS c2 FROM features),
+  train AS (SELECT f.* FROM features f, cuts WHERE epoch(hour_ts) <= c1),
+  held AS (SELECT f.*, CASE WHEN epoch(hour_ts) <= c2 THEN 'val' ELSE 'test' END AS part FROM features f, cuts WHERE epoch(hour_ts) > c1)"""
+MEASURED = """(SELECT {c} FROM e WHERE e.model = x.model AND part = '{p}')"""
+
+
+def _weak_and_strong():
+    return {f"penalty_{p}": M.linear_regression().setRegParam(p) for p in (0.1, 50.0)}
+
+
+@check(
+    "M7_compare_models",
+    f"""WITH {CUTS}, {ridge_sql("train", LAGS, "target_demand", 0.1, "weak")}, {ridge_sql("train", LAGS, "target_demand", 50.0, "strong")},
+       p AS (SELECT 'penalty_0.1' AS model, part, target_demand AS y, {LAG_FIT.format(n='weak')} AS p FROM held, weak
+         UNION ALL SELECT 'penalty_50.0', part, target_demand, {LAG_FIT.format(n='strong')} FROM held, strong),
+       e AS (SELECT model, part, round(sqrt(avg(pow(p - y, 2))), 6) AS rmse, round(avg(abs(p - y)), 6) AS mae, round(avg(2 * abs(p - y) / (abs(y) + abs(p) + 1e-8)), 6) AS smape
+         FROM p GROUP BY ALL)
+       SELECT model, {', '.join(MEASURED.format(c=c, p=p) + f' AS {p}_{c}' for p in ('val', 'test') for c in ('rmse', 'mae', 'smape'))}
+       FROM (SELECT DISTINCT model FROM e) x""",
+)
+def _(spark, sf):
+    rows = X.features(spark, sf).select("hour_ts", "target_demand", *LAGS)
+    return X.rounded(serving.train(rows, err=0, estimators=_weak_and_strong())[0])
+
+
+@check("M7_compare_tree_models")
 def _(spark, sf):
     return serving.train(X.features(spark, sf))[0]
 
@@ -352,12 +408,19 @@ def _(spark, sf):
     return X.rounded(M.select_model(_candidates(spark, sf)).select("model", "val_rmse"))
 
 
-@check("M9_save_model")
+@check(
+    "M9_save_model",
+    f"""WITH {CUTS}, {ridge_sql("train", LAGS, "target_demand", 0.1, "fit")}
+       SELECT pulocationid, hour_ts, 'linear_regression' AS model, round({LAG_FIT.format(n='fit')}, 6) + 0.0 AS prediction FROM features, fit""",
+)
 def _(spark, sf):
     rows = X.features(spark, sf)
-    metrics, name, model = serving.train(rows, estimators={"linear_regression": M.linear_regression()})
-    save_model(model, scratch_path(spark, "model"))
-    return model.transform(rows).select("pulocationid", "hour_ts", F.lit(name).alias("model"), "prediction")
+    one = {"linear_regression": M.linear_regression()}
+    _, name, model = serving.train(rows.select("hour_ts", "target_demand", *LAGS), err=0, estimators=one)
+    path = scratch_path(spark, "model")
+    save_model(model, path)
+    preds = load_model(path).transform(rows).select("pulocationid", "hour_ts", F.lit(name).alias("model"), "prediction")
+    return X.rounded(preds)
 
 
 @check(
@@ -565,10 +628,39 @@ def _(spark, sf):
     )
 
 
-@check("M18_score_zones")
-def _(spark, sf):
-    rows = X.features(spark, sf)
-    model = M.fit_pipeline(rows, M.linear_regression())
+SCORED = f"""{CENTERS}, named AS (SELECT request_id, ts, unnest(zone_ids) AS id, zone_ids FROM requests),
+       pairs AS (SELECT n.request_id, n.ts, n.id, o.id AS near_id, row_number() OVER (PARTITION BY n.request_id, n.id
+           ORDER BY sqrt(pow(o.x - c.x, 2) + pow(o.y - c.y, 2)), o.id) AS rank
+         FROM named n JOIN centers c ON c.id = n.id JOIN centers o ON NOT list_contains(n.zone_ids, o.id)),
+       grid AS (SELECT request_id, ts, id, 'selected' AS source FROM named
+         UNION ALL SELECT DISTINCT request_id, ts, near_id, 'nearby' FROM pairs WHERE rank <= 4),
+       asked AS (SELECT DISTINCT id AS pulocationid, ts AS hour_ts FROM grid),
+       {ACTUAL}, {WITH_HISTORY}, served AS ({SERVED}), {ridge_sql("features", LAGS, "target_demand", 0.1, "fit")},
+       predicted AS (SELECT g.request_id, g.ts AS hour_ts, CAST(g.id AS BIGINT) AS pulocationid, g.source, {LAG_FIT.format(n='fit')} AS p
+         FROM grid g JOIN served s ON s.pulocationid = g.id AND s.hour_ts = g.ts, fit)"""
+
+
+def _scored_zones(spark, sf):
+    model = M.fit_pipeline(X.features(spark, sf), M.linear_regression(), LAGS)
     return serving.score_zones(
         X.requests(spark, sf), X.fact(spark, sf), X.x4(spark, sf), X.x5(spark, sf), _centers(spark, sf), model
     )
+
+
+@check(
+    "M18_score_zones",
+    f"""WITH {SCORED} SELECT request_id, hour_ts, pulocationid, source, round(p, 4) + 0.0 AS prediction,
+          abs(round(greatest(0.0, least(1.0, (p - 23) / 173)), 4)) AS score FROM predicted""",
+)
+def _(spark, sf):
+    return X.rounded(_scored_zones(spark, sf).drop("predicted_demand"), 4)
+
+
+@check(
+    "M18_ranked_zones",
+    f"""WITH {SCORED} SELECT request_id, pulocationid, zone AS zone_name, row_number() OVER (PARTITION BY request_id ORDER BY
+          round(greatest(0.0, least(1.0, (p - 23) / 173)), 4) DESC, pulocationid) AS rank FROM predicted JOIN x4 ON location_id = pulocationid""",
+)
+def _(spark, sf):
+    ranked = serving.ranked_zones(_scored_zones(spark, sf), X.x4(spark, sf))
+    return X.rounded(ranked.select("request_id", "pulocationid", "zone_name", "rank"))
