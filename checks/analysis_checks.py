@@ -350,9 +350,9 @@ def _(spark, sf):
     return FT.join_weather(rows, shouted).drop("zone", "service_zone")
 
 
-@check("J3_orphans", "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT o_custkey FROM orders)")
+@check("J3_orphans", "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events)")
 def _(spark, sf):
-    return Q.orphans(X.table(spark, sf, "events"), X.table(spark, sf, "orders"), "user_id", "o_custkey")
+    return Q.orphans(X.table(spark, sf, "orders"), X.table(spark, sf, "events"), "o_custkey", "user_id")
 
 
 REQUESTED = """asked AS (SELECT DISTINCT pulocationid, date_trunc('hour', pickup_datetime) + INTERVAL 1 HOUR AS hour_ts FROM x1)"""
@@ -452,15 +452,14 @@ def _(spark, sf):
     return X.rounded(out.select("hour_ts", "pulocationid", "temperature_mean", "precipitation_sum", "is_rainy"))
 
 
-IDS_NOW = "SELECT o_custkey AS k FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-01'"
-IDS_BEFORE = "SELECT o_custkey AS k FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01' AND o_orderdate < TIMESTAMP '2001-07-01'"
+IDS_NOW = "SELECT user_id AS k FROM events"
+IDS_BEFORE = "SELECT o_custkey + 75 AS k FROM orders"
 
 
-def _months(spark, sf):
-    rows = X.table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), "o_orderdate")
-    now = rows.filter("o_orderdate >= '2001-07-01'")
-    before = rows.filter("o_orderdate >= '2001-06-01' AND o_orderdate < '2001-07-01'")
-    return now.select("k"), before.select("k")
+def _two_lookups(spark, sf):
+    """Those seen in events, and those seen in orders: keys of two whole tables, with repeats, that differ both ways."""
+    now = X.table(spark, sf, "events").select(F.col("user_id").alias("k"))
+    return now, X.table(spark, sf, "orders").select((F.col("o_custkey") + 75).alias("k"))
 
 
 @check(
@@ -469,12 +468,12 @@ def _months(spark, sf):
         UNION ALL (SELECT k, 'removed' FROM ({IDS_BEFORE}) EXCEPT SELECT k, 'removed' FROM ({IDS_NOW}))""",
 )
 def _(spark, sf):
-    return Q.key_diff(*_months(spark, sf), "k")
+    return Q.key_diff(*_two_lookups(spark, sf), "k")
 
 
 @check("U3_except_keys", f"{IDS_NOW} EXCEPT {IDS_BEFORE}")
 def _(spark, sf):
-    return Q.except_keys(*_months(spark, sf), "k")
+    return Q.except_keys(*_two_lookups(spark, sf), "k")
 
 
 # --- quality rules -------------------------------------------------------
@@ -530,16 +529,30 @@ def _(spark, sf):
         [
             ("empty", "error", "SELECT 0"),
             ("missing_columns", "error", "SELECT 0"),
-            ("null_id", "error", "SELECT 0"),
-            ("duplicate_key", "error", "SELECT count(*) FROM x4"),
+            ("null_id", "error", "SELECT 2 * count(*) FROM x4 WHERE service_zone IS NULL OR zone LIKE 'A%'"),
+            (
+                "duplicate_key",
+                "error",
+                "SELECT 2 * count(*) - count(DISTINCT coalesce(CASE WHEN service_zone IS NOT NULL AND zone NOT LIKE 'A%' THEN location_id END, -1)) FROM x4",
+            ),
         ],
     ),
 )
 def _(spark, sf):
-    raw = X.x4_raw(spark, sf)
+    known = F.col("service_zone").isNotNull() & ~F.col("Zone").like("A%")
+    raw = X.x4_raw(spark, sf).withColumn("LocationID", F.when(known, F.col("LocationID")))
     return Q.check_lookup(raw.unionByName(raw))
 
 
+@check(
+    "Q3_check_lookup_columns",
+    _rules_sql("lookup", [("empty", "error", "SELECT 1")])
+    + " UNION ALL SELECT 'lookup', 'missing_columns', 'error', 2, 'Borough, LocationID'",
+)
+def _(spark, sf):
+    return Q.check_lookup(X.x4_raw(spark, sf).drop("LocationID", "Borough").filter("Zone = 'nowhere'"))
+
+
 @check(
     "Q4_check_lookup_change",
     f"""WITH a AS (SELECT k FROM ({IDS_NOW}) EXCEPT SELECT k FROM ({IDS_BEFORE})),
@@ -551,7 +564,7 @@ def _(spark, sf):
          (SELECT string_agg(k, ', ' ORDER BY k) FROM (SELECT k FROM r ORDER BY k LIMIT 10)) || CASE WHEN (SELECT count(*) FROM r) > 10 THEN '...' ELSE '' END""",
 )
 def _(spark, sf):
-    return Q.check_lookup_change(*_months(spark, sf), "k")
+    return Q.check_lookup_change(*_two_lookups(spark, sf), "k")
 
 
 FACT_RULES = [
@@ -628,14 +641,22 @@ def _(spark, sf):
 
 @check(
     "Q9_assert_expectations",
-    _rules_sql("dim_zone", [(r, "error", "SELECT 0") for r in ("empty", "missing_columns", "null_id", "duplicate_key")])
-    + " UNION ALL "
-    + _rules_sql("dim_weather", [(r, "error", "SELECT count(*) * 0 FROM x5") for r in ("empty", "missing_columns", "duplicate_key")]),
+    """SELECT 'Validation failed:' AS line UNION ALL SELECT '- dim_zone: null_id (' || count(*) || ')' FROM x4 WHERE service_zone IS NULL
+       UNION ALL SELECT '- dim_weather: duplicate_key (' || count(*) || ')' FROM x5
+       UNION ALL SELECT 'passed: ' || (SELECT count(*) FROM x4) || ' zones'""",
 )
 def _(spark, sf):
-    results = Q.check_zones(X.x4(spark, sf)).unionByName(Q.check_weather(X.x5(spark, sf)))
-    Q.assert_expectations(results)
-    return results
+    """What a failed table raises, line by line, and that a sound one raises nothing."""
+    zones, days = X.x4(spark, sf), X.x5(spark, sf)
+    Q.assert_expectations(Q.check_zones(zones).unionByName(Q.check_weather(days)))
+    faulty = zones.withColumn("location_id", F.when(F.col("service_zone").isNotNull(), F.col("location_id")))
+    try:
+        Q.assert_expectations(Q.check_zones(faulty).unionByName(Q.check_weather(days.unionByName(days))))
+        lines = ["nothing raised"]
+    except ValueError as e:
+        lines = str(e).splitlines()
+    passed = zones.agg(F.concat(F.lit("passed: "), F.count("*").cast("string"), F.lit(" zones")).alias("line"))
+    return spark.createDataFrame([(x,) for x in lines], "line string").unionByName(passed)
 
 
 @check(
@@ -700,14 +721,14 @@ def _(spark, sf):
 
 @check(
     "C2_date_parts",
-    """SELECT event_id, year(ts) AS y, month(ts) AS m, hour(ts) AS h, dayofweek(ts) + 1 AS dow, CAST(ts AS DATE) AS d FROM events""",
+    """SELECT event_id, month(ts) AS month, hour(ts) AS hour, isodow(ts) - 1 AS day_of_week, CAST(isodow(ts) >= 6 AS BIGINT) AS is_weekend, CAST(ts AS DATE) AS pickup_date,
+         strftime(ts, '%Y-%m') AS year_month FROM events""",
 )
 def _(spark, sf):
-    return X.rounded(
-        X.table(spark, sf, "events").select(
-            "event_id", F.year("ts").alias("y"), F.month("ts").alias("m"), F.hour("ts").alias("h"), F.dayofweek("ts").alias("dow"), F.to_date("ts").alias("d")
-        )
-    )
+    from zonepulse.sources.writers import with_period
+
+    rows = X.table(spark, sf, "events").select("event_id", F.col("ts").alias("hour_ts"))
+    return X.rounded(with_period(FT.add_calendar(rows), "hour_ts").select("event_id", "month", "hour", "day_of_week", "is_weekend", "pickup_date", "year_month"))
 
 
 @check("C3_weekday_numbers", "SELECT l_orderkey, l_linenumber, dayofweek(l_shipdate) AS sun0, isodow(l_shipdate) - 1 AS mon0 FROM lineitem")
@@ -770,17 +791,13 @@ def _(spark, sf):
 
 @check(
     "C8_math",
-    "SELECT event_id, round(sin(value), 6) + 0.0 AS s, round(cos(value), 6) + 0.0 AS c, round(sqrt(abs(value - 50)), 6) AS r, round(pow(value, 2), 4) AS p FROM events",
+    """SELECT event_id, round(sin(2 * pi() * hour(ts) / 24), 6) + 0.0 AS hour_sin, round(cos(2 * pi() * hour(ts) / 24), 6) + 0.0 AS hour_cos,
+         round(2 * abs(value - 50) / (abs(50) + abs(value) + 1e-8), 6) + 0.0 AS term FROM events""",
 )
 def _(spark, sf):
-    v = F.col("value")
-    return X.table(spark, sf, "events").select(
-        "event_id",
-        (F.round(F.sin(v), 6) + 0.0).alias("s"),
-        (F.round(F.cos(v), 6) + 0.0).alias("c"),
-        F.round(F.sqrt(F.abs(v - 50)), 6).alias("r"),
-        F.round(F.pow(v, F.lit(2)), 4).alias("p"),
-    )
+    rows = X.table(spark, sf, "events").select("event_id", F.col("ts").alias("hour_ts"), "value")
+    rows = FT.add_cyclical(FT.add_calendar(rows))
+    return X.rounded(rows.select("event_id", "hour_sin", "hour_cos", score.smape_term(F.lit(50), "value").alias("term")))
 
 
 @check(
@@ -848,17 +865,15 @@ def _(spark, sf):
 
 @check(
     "C16_conditionals",
-    """SELECT hour_ts, pulocationid, coalesce(service_zone, 'none') AS sz, CASE WHEN demand > 2 THEN 'busy' ELSE 'calm' END AS load,
-         day_of_week IN (5, 6) AS weekend, temperature_mean IS NULL AS dry FROM wide""",
+    """SELECT hour_ts, pulocationid, coalesce(service_zone, 'none') AS sz, round(coalesce(temperature_mean, 0), 6) + 0.0 AS temperature_mean,
+         CAST(coalesce(precipitation_sum, 0) > 0 AS BIGINT) AS is_rainy, CAST(coalesce(precipitation_sum, 0) >= 10 AS BIGINT) AS is_heavy_rain,
+         CAST(borough IS NULL AS BIGINT) AS no_borough, CAST(coalesce(lower(trim(borough)) = 'queens', false) AS BIGINT) AS queens FROM wide""",
 )
 def _(spark, sf):
-    return X.wide(spark, sf).select(
-        "hour_ts",
-        "pulocationid",
-        text.first_present("service_zone", default="none").alias("sz"),
-        F.when(F.col("demand") > 2, "busy").otherwise("calm").alias("load"),
-        F.col("day_of_week").isin(5, 6).alias("weekend"),
-        F.col("temperature_mean").isNull().alias("dry"),
+    rows = X.wide(spark, sf).withColumn("sz", text.first_present("service_zone", default="none"))
+    rows = FT.encode_location(FT.add_weather_flags(dims.fill_weather(rows)))
+    return X.rounded(
+        rows.select("hour_ts", "pulocationid", "sz", "temperature_mean", "is_rainy", "is_heavy_rain", F.col("borough_nan").alias("no_borough"), F.col("borough_queens").alias("queens"))
     )
 
 
