@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.llm.arrays import Rolling, slices, small_batches, utf8
 from zonepulse.llm.order import NULL_KEY
-from zonepulse.llm.scratch import stored
+from zonepulse.llm.scratch import delete, stored_at
 
 TRIGGER = 16
 
@@ -188,17 +188,20 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep: list[str] | None =
     anchors = narrow.mapInArrow(_anchors(length), "core long, context long, key long, check long, lo int, hi int")
     cores = anchors.groupBy("core").agg(F.count("*").alias("n"), F.min("context").alias("c0"), F.max("context").alias("c1"))
     cores = cores.where("n > 1").select("core", (F.col("c0") != F.col("c1")).alias("mixed"))
-    found = stored(anchors.join(cores, "core").select("context", "mixed", "key", "check", "lo", "hi"), "cores")
-    groups = stored(found.groupBy("context", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("key", "check", "lo", "hi")).alias("first")), "contexts")
+    found, cores_at = stored_at(anchors.join(cores, "core").select("context", "mixed", "key", "check", "lo", "hi"), "cores")
+    groups, _ = stored_at(found.groupBy("context", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("key", "check", "lo", "hi")).alias("first")), "contexts")
     repeated = found.join(groups.where("n > 1").select("context"), "context", "left_semi").select("key", "check", F.col("lo").alias("s"), (F.col("hi") + length).alias("e"))
+    repeated, _ = stored_at(repeated, "repeated")
+    delete(docs.sparkSession, cores_at)
     asked = groups.where("mixed").select("first.*", F.least("n", F.lit(2)).cast("int").alias("n"))
     asked = asked.groupBy("key", "check").agg(F.collect_list(F.struct("lo", "hi", "n")).alias("asked"))
     names = narrow.join(asked, ["key", "check"]).select("key", "check", "text", "asked").mapInArrow(_named(length), "name long, n int, key long, check long, at int")
-    names = stored(names, "names")
+    names, names_at = stored_at(names, "names")
     twice = names.groupBy("name").agg(F.sum("n").alias("total")).where("total > 1").select("name")
     single = names.where("n = 1").join(twice, "name", "left_semi").select("key", "check", F.col("at").alias("s"), (F.col("at") + length).alias("e"))
     spans = repeated.unionAll(single).groupBy("key", "check").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    spans = stored(spans, "spans")
+    spans, _ = stored_at(spans, "spans")
+    delete(docs.sparkSession, names_at)
     none = F.expr("cast(array() AS array<struct<s:int,e:int>>)")
     placed = bare.join(spans, ["key", "check"], "left").select(*dict.fromkeys([*keep, "text"]), F.coalesce("spans", none).alias("spans"))
     kinds = dict(docs.dtypes)

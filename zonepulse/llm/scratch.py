@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from zonepulse.sources.shared import scratch_path
 
@@ -12,3 +12,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the table's path, for ``delete`` after its last reader."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    # What the write has shuffled is needed no more; Spark deletes such files once the driver has collected its garbage.
+    spark.sparkContext._jvm.java.lang.System.gc()
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a table that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
