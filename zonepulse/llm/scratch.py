@@ -19,11 +19,15 @@ def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    # What the write has shuffled is needed no more; Spark deletes such files once the driver has collected its garbage.
-    spark.sparkContext._jvm.java.lang.System.gc()
+    release(spark)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished jobs have shuffled; Spark deletes such files once the driver has collected its garbage."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a table that nothing reads any more."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
