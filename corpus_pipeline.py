@@ -13,7 +13,7 @@ from zonepulse.llm.bpe import encode_texts
 from zonepulse.llm.decontaminate import clean
 from zonepulse.llm.near_dup import near_duplicates
 from zonepulse.llm.repeats import remove_repeats
-from zonepulse.llm.scratch import stored
+from zonepulse.llm.scratch import release, stored
 from zonepulse.llm.toxicity import fit, passed
 
 #: Bytes of a passage that is removed wherever it repeats: under the length of fifty words.
@@ -49,6 +49,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Copies of a passage go in all places. Whole copies of a document would go so too; the stage before has left one of them.
     """
+    release(spark)
     cut = remove_repeats(docs, PASSAGE, keep=["doc_id", "lang", "source"], text_out=True)
     return cut.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.char_length("kept_text").cast("long").alias("n_chars"))
 
