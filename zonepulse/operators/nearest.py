@@ -201,7 +201,7 @@ def candidates(tree: Tree, probes: DataFrame, key: Sequence[str], k: int, exclud
     again = placed.select(*carried, "x", "y").distinct().join(reach, list(key), "left").select(
         *carried, "x", "y", F.coalesce("_r", F.lit(float("inf"))).alias("reach"), F.lit("").alias("node")
     )
-    second = _pairs(tree, _down(tree, again, carried, used), [*carried, "x", "y"], excluded)
+    second = _pairs(tree, _down(tree, written(again), carried, used), [*carried, "x", "y"], excluded)
     return first, second
 
 
