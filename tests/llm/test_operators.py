@@ -367,3 +367,45 @@ def test_word_hashes_follow_the_pattern():
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
     hashed, rows = arrays.word_hashes(*arrays.utf8(batch, "text"), space, fold)
     assert list(rows) == [1, 1, 1, 3, 3, 4, 5] and hashed[0] == hashed[1] != hashed[2]
+
+
+def thue_morse(n):
+    """A word of n letters and its complement; a polynomial modulo 2**64 cannot tell the two apart from about 1,024 letters on."""
+    s = "L"
+    while len(s) < n:
+        s += s.translate(str.maketrans("Lr", "rL"))
+    return s[:n], s[:n].translate(str.maketrans("Lr", "rL"))
+
+
+@pytest.mark.parametrize("n", [512, 1024, 2048])
+def test_structured_texts_are_told_apart(spark, n):
+    x, y = thue_morse(n)
+    one, other = np.frombuffer((x + y).encode(), np.uint8), np.array([0, n])
+    prints = arrays.PrimeRolling(one).of(other, other + n)
+    assert prints[0] != prints[1]
+    found = near_duplicates(frame(spark, [x, y, " ".join(x), " ".join(y), x]), 2, 80).collect()
+    # Two letters make the same pairs of words, so the spaced texts are alike by definition.
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == [(0, 0), (1, 1), (2, 2), (3, 2), (4, 0)]
+    gone = repeats.remove_repeats(frame(spark, [x, y]), n).collect()
+    assert [r["n_removed"] for r in gone] == [0, 0]
+    assert sorted(r["n_removed"] for r in repeats.remove_repeats(frame(spark, [x, y, x]), n).collect()) == [0, n, n]
+
+
+def test_tiles_of_structured_words():
+    x, y = (np.array([ord(c) for c in s], np.uint64) for s in thue_morse(1024))
+    tiles = decontaminate.tile(x, y)
+    assert tiles and max(n for _, _, n in tiles) < 1024 and all((x[i : i + n] == y[d : d + n]).all() for i, d, n in tiles)
+    assert decontaminate.tile(x, x)[0] == (0, 0, 1024)
+
+
+def test_repeats_of_the_production_length(spark):
+    """400 bytes: passages of 399 and 400 bytes, overlapping ones, runs of one letter, copies inside a document."""
+    rng = random.Random(400)
+    some = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    cut = lambda s, n: s.encode()[:n].decode("utf-8", "ignore")
+    shared = [cut(some(900), n) for n in (399, 400, 401, 800)]
+    texts = [some(rng.randint(0, 700)) + rng.choice(shared)[rng.randint(0, 3) :] + some(rng.randint(0, 500)) for _ in range(30)]
+    texts += ["z" * 399, "z" * 400, "y" * 900, shared[3] * 3, "ab" * 450, "b" + "ab" * 300]
+    found = repeats.remove_repeats(frame(spark, texts), 400).collect()
+    assert sorted(tuple(r) for r in found) == [(i, *x) for i, x in enumerate(brute_repeats(texts, 400))]
+    assert sum(r["n_removed"] for r in found) > 0

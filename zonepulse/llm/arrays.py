@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -69,7 +70,10 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 class Rolling:
-    """Karp-Rabin fingerprints of any substring of a byte array, modulo 2**64."""
+    """Karp-Rabin fingerprints of any short substring of a byte array, modulo 2**64.
+
+    Texts made for it (Thue-Morse words) collide from about 512 bytes on; ``PrimeRolling`` is for strings of any length.
+    """
 
     #: Fixed pseudo-random value of each byte.
     BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(MULTIPLIER))
@@ -84,6 +88,76 @@ class Rolling:
         return mix((self.sums[end] - self.sums[start]) * self.back[start])
 
 
+#: Two primes below 2**31, so that products of remainders and sums of four thousand million of them fit in 64 bits.
+PRIMES = (2**31 - 1, 2**31 - 19)
+#: Bases of the fingerprints modulo each prime.
+BASES = (1_103_515_245 % PRIMES[0], 1_664_525_477 % PRIMES[1])
+#: Powers up to this exponent are kept by a worker.
+KEPT_POWERS = 1 << 20
+
+
+def _powers_modulo(base: int, prime: int, n: int) -> np.ndarray:
+    """base**0 to base**(n - 1) modulo the prime, by doubling."""
+    out = np.ones(max(n, 1), np.uint64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        done += more
+    return out[:n].astype(np.uint32)
+
+
+@lru_cache(maxsize=4)
+def _kept_powers(base: int, prime: int) -> np.ndarray:
+    return _powers_modulo(base, prime, KEPT_POWERS)
+
+
+def prime_powers(base: int, prime: int, n: int) -> np.ndarray:
+    return _kept_powers(base, prime)[:n] if n <= KEPT_POWERS else _powers_modulo(base, prime, n)
+
+
+class PrimeRolling:
+    """Karp-Rabin fingerprints of any run of an array of codes, modulo two primes at once.
+
+    ``codes`` are bytes or 64-bit hashes. Two different runs of n items agree with a probability of about (n / 2**31)**2, whatever
+    their structure, as the value of a code is pseudo-random modulo either prime.
+    """
+
+    #: Fixed pseudo-random value of each byte.
+    BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(MULTIPLIER))
+
+    def __init__(self, codes: np.ndarray) -> None:
+        n = len(codes)
+        self.parts = []
+        for k, (base, prime) in enumerate(zip(BASES, PRIMES, strict=True)):
+            p, shift = np.uint64(prime), np.uint64(32 * k)
+            if codes.dtype == np.uint8:
+                values = ((self.BYTES >> shift) % p)[codes]
+            else:
+                values = (codes >> shift) % p
+            values *= prime_powers(base, prime, n)
+            values %= p
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(values, out=sums[1:])
+            self.parts.append((p, sums, prime_powers(pow(base, -1, prime), prime, n + 1)))
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Fingerprints of the runs from start to before end."""
+        found = [(sums[end] - sums[start]) % p * back[start] % p for p, sums, back in self.parts]
+        return mix((found[0] << np.uint64(32) | found[1]) + np.uint64(1))
+
+    def windows(self, width: int) -> np.ndarray:
+        """Fingerprints of all runs of ``width`` items, in order."""
+        found = []
+        for p, sums, back in self.parts:
+            h = sums[width:] - sums[: max(0, len(sums) - width)]
+            h %= p
+            h *= back[: len(h)]
+            h %= p
+            found.append(h)
+        return mix((found[0] << np.uint64(32) | found[1]) + np.uint64(1))
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, is_space: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of each row, and the row it is in; ``fold`` maps bytes first."""
     if not len(data):
@@ -97,7 +171,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, is_space: np.ndarray, fol
     after = np.append(~word[1:], True) | first[1:]
     ends = np.flatnonzero(word & after) + 1
     rows = np.searchsorted(offsets, starts, side="right") - 1
-    return Rolling(fold[data]).of(starts, ends), rows
+    return PrimeRolling(fold[data]).of(starts, ends), rows
 
 
 def shingle_hashes(words: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

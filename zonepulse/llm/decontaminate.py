@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonepulse.llm.arrays import MULTIPLIER, ascii_tables, mix, powers, slices, small_batches, utf8, word_hashes
+from zonepulse.llm.arrays import MULTIPLIER, PrimeRolling, ascii_tables, mix, powers, slices, small_batches, utf8, word_hashes
 
 #: Least length of a tile in words, and the coverage from which a document counts as contaminated.
 MIN_MATCH, COVERAGE = 5, 0.5
@@ -88,11 +88,11 @@ def _first_common(item: np.ndarray, doc: np.ndarray, free_i: np.ndarray, free_d:
     if not hit.any():
         return None
     places = open_a[order[at[hit]]]
-    i = int(places.min())
     # Equal fingerprints are confirmed word by word.
-    for d in open_b[hit][places == i]:
-        if np.array_equal(item[i : i + n], doc[d : d + n]):
-            return i, int(d)
+    for i in np.unique(places):
+        for d in open_b[hit][places == i]:
+            if np.array_equal(item[i : i + n], doc[d : d + n]):
+                return int(i), int(d)
     return None
 
 
@@ -100,9 +100,7 @@ def rolling(words: np.ndarray, n: int) -> np.ndarray:
     """Running Karp-Rabin fingerprints of all runs of n words, in one pass whatever n is."""
     if len(words) < n:
         return np.zeros(0, np.uint64)
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(mix(words + np.uint64(1)) * powers(MULTIPLIER, len(words)), out=sums[1:])
-    return (sums[n:] - sums[:-n]) * powers(pow(MULTIPLIER, -1, 1 << 64), len(words) - n + 1)
+    return PrimeRolling(mix(words + np.uint64(1))).windows(n)
 
 
 def whole(free: np.ndarray, n: int) -> np.ndarray:
