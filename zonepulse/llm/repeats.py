@@ -1,9 +1,9 @@
 """Exact removal of byte strings that occur twice, by prefix-free parsing.
 
-Rolling-hash triggers (a 16-byte window whose fingerprint falls below a bound) cut every text in the same places wherever the
-same bytes stand, so the text becomes a sequence of phrases and equal strings are parsed equally. A string of the asked length belongs to
-the first trigger in it. All strings that belong to a trigger, at distances of one segment, share their inner bytes (the
-core); together they make up the trigger's context, a phrase with what surrounds it.
+The trigger of a string is the first of its 16-byte windows with the least rolling hash. Triggers cut every text in the same places
+wherever the same bytes stand, so the text becomes a sequence of phrases and equal strings are parsed equally. All strings that belong to a
+trigger, at distances of one segment, share their inner bytes (the core); together they make up the trigger's context, a phrase with
+what surrounds it. A trigger stands for about half as many starts as the string has bytes, so there are few contexts.
 
 Only the distinct contexts (the dictionary) matter:
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonepulse.llm.arrays import Rolling, slices, small_batches, utf8
+from zonepulse.llm.arrays import PrimeRolling, slices, small_batches, utf8
 from zonepulse.llm.order import NULL_KEY
 from zonepulse.llm.scratch import delete, stored_at
 
@@ -41,39 +41,38 @@ def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(np.cumsum(count) - count, count) + np.repeat(lo, count)
 
 
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` consecutive values, by doubling."""
+    reach = 1
+    while reach * 2 <= width:
+        values = np.minimum(values[:-reach], values[reach:])
+        reach *= 2
+    return np.minimum(values[: len(values) - (width - reach)], values[width - reach :]) if reach < width else values
+
+
 def contexts(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(core, context, row, lo, hi): fingerprints, and the first and last start (in the row) of the strings they stand for."""
-    width, segment, trigger = max(1, length // 6), max(1, length * 8 // 25), min(TRIGGER, length)
-    rolling = Rolling(data)
-    grams = (rolling.sums[trigger:] - rolling.sums[:-trigger]) * rolling.back[: max(0, len(data) - trigger + 1)]
-    at = np.flatnonzero((grams >> np.uint64(32)) < np.uint64(2**32 // width))
-    row = np.searchsorted(offsets, at, side="right") - 1
-    inside = at + trigger <= offsets[row + 1]
-    at, row = at[inside], row[inside]
-    begin, last = offsets[row], offsets[row + 1] - length
-    before = np.concatenate([[-1], at[:-1]])
-    before = np.where(before >= begin, before, begin - 1)
+    segment, trigger = max(1, length * 8 // 25), min(TRIGGER, length)
+    none = np.zeros(0, np.int64)
+    if len(data) < length:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), none, none, none
+    rolling = PrimeRolling(data)
+    # The upper half is the window's fingerprint, the lower its place, so the first of equal windows is the least.
+    windows = (rolling.windows(trigger) >> np.uint64(32) << np.uint64(32)) | np.arange(len(data) - trigger + 1, dtype=np.uint64)
     far = length - trigger
-    lo, hi = np.maximum(before + 1, at - far), np.minimum(at, last)
-    out = []
-    for s in range(far // segment + 1):
-        a, b = np.maximum(lo, at - s * segment - segment + 1), np.minimum(hi, at - s * segment)
-        some = np.flatnonzero(a <= b)
-        a, b, t = a[some], b[some], at[some] - s * segment
-        core = rolling.of(t, t + length - segment + 1)
-        whole = rolling.of(a, b + length) + (b - a).astype(np.uint64)
-        out.append((core, whole, row[some], a - begin[some], b - begin[some]))
-    # Strings without a trigger stand for themselves: between triggers that are far apart, and after a row's last.
-    final = np.flatnonzero(np.diff(offsets) >= length)
-    tail = np.full(len(offsets) - 1, -1)
-    tail[row] = at
-    start = np.concatenate([before + 1, np.maximum(tail[final] + 1, offsets[final])])
-    stop = np.concatenate([np.minimum(at - far - 1, last), offsets[final + 1] - length])
-    of = np.concatenate([row, final])
-    alone, own = _ranges(start, stop), np.repeat(of, np.maximum(stop - start + 1, 0))
-    name = rolling.of(alone, alone + length)
-    out.append((name, name, own, alone - offsets[own], alone - offsets[own]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+    at = (sliding_least(windows, far + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    # Strings lie in one row, so their triggers do; those of other places are left out.
+    start = _ranges(offsets[:-1], offsets[1:] - length)
+    row = np.repeat(np.arange(len(offsets) - 1), np.maximum(np.diff(offsets) - length + 1, 0))
+    at = at[start]
+    part = (at - start) // segment
+    new = np.ones(len(start), bool)
+    new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1]) | (part[1:] != part[:-1])
+    lo, row, t = start[new], row[new], (at - part * segment)[new]
+    hi = start[np.append(np.flatnonzero(new)[1:] - 1, len(start) - 1)] if len(start) else lo
+    core = rolling.of(t, t + length - segment + 1)
+    whole = rolling.of(lo, hi + length) + (hi - lo).astype(np.uint64)
+    return core, whole, row, lo - offsets[row], hi - offsets[row]
 
 
 def _anchors(length: int):
@@ -110,7 +109,7 @@ def _named(length: int):
                 at = _ranges(lo + offsets[of], hi + offsets[of])
                 count = hi - lo + 1
                 own = np.repeat(of, count)
-                name = Rolling(data).of(at, at + length)
+                name = PrimeRolling(data).of(at, at + length)
                 key, check = (part.column(c).to_numpy(zero_copy_only=False)[own] for c in ("key", "check"))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(name.view(np.int64)), pa.array(np.repeat(n, count)), pa.array(key), pa.array(check), pa.array((at - offsets[own]).astype(np.int32))],
@@ -177,7 +176,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, keep: list[str] | None =
     columns to pass on.
 
     A null text is empty. Texts shorter than ``length`` keep all. Repeated rows are copies of each other, so from ``length``
-    bytes on all of both is removed. A null doc_id stays null. Strings count as equal when their 64-bit fingerprints are.
+    bytes on all of both is removed. A null doc_id stays null. Strings count as equal when their fingerprints modulo two primes of 31 bits are.
     """
     small_batches(docs.sparkSession)
     keep = ["doc_id"] if keep is None else keep
