@@ -4,7 +4,7 @@ Each set of word shingles gets ``bands * rows`` minima. Whole minima make the ba
 are kept, packed sixteen to a long. Sets that share a band key are candidates; the likeness estimated from the bits,
 corrected for chance agreement, discards those that are clearly apart, and the full sets decide.
 
-Equal sets form a class that its smallest id represents, so copies cost one row each. Inside a bucket of more than
+Equal sets form a class with a number of its own, so copies cost one row each. Inside a bucket of more than
 ``SMALL`` members only one (the pivot) meets the others, which links most of a group of near copies. Buckets whose members
 then still lie in several components join into clusters; a cluster is dealt into blocks of about ``BLOCK`` members, members of one large
 component together, and each pair of blocks that holds different components is compared in one task on full sets, which
@@ -61,6 +61,16 @@ def _minima(values: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndar
     return out
 
 
+def _set_keys(values: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Two fingerprints of each row's set."""
+    filled = np.flatnonzero(count)
+    keys = np.zeros((2, len(count)), np.uint64)
+    if len(filled):
+        for k in range(2):
+            keys[k, filled] = np.add.reduceat(mix(values + np.uint64(k + 7)), start[filled])
+    return keys
+
+
 def _signatures(width: int):
     schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.int64()), ("set_check", pa.int64()), ("bands", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
@@ -69,12 +79,10 @@ def _signatures(width: int):
             for part in slices(batch, "text"):
                 values, start, count = _sets(part, width)
                 n, filled = part.num_rows, np.flatnonzero(count)
-                keys = np.zeros((2, n), np.uint64)
+                keys = _set_keys(values, start, count)
                 bands = np.zeros((n, BANDS), np.uint64)
                 packed = np.zeros((n, LONGS), np.uint64)
                 if len(filled):
-                    for k in range(2):
-                        keys[k, filled] = np.add.reduceat(mix(values + np.uint64(k + 7)), start[filled])
                     low = _minima(values, start, count)
                     weights = powers(int(FACTORS[0]), ROWS)
                     bands = mix((low.reshape(n, BANDS, ROWS) * weights).sum(axis=2, dtype=np.uint64) + OFFSETS[:BANDS])
@@ -93,8 +101,12 @@ def _full_sets(width: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 values, start, count = _sets(part, width)
+                keys = _set_keys(values, start, count)
                 raw = [values[s : s + n].tobytes() for s, n in zip(start, count, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(raw, pa.binary())], names=["id", "members"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), pa.array(count), pa.array(raw, pa.binary())],
+                    names=["set_key", "set_check", "n_shingles", "members"],
+                )
 
     return run
 
@@ -227,7 +239,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased. A text with fewer words than ``width`` is one
     shingle. A null, empty or blank text has no shingle, equals nothing and is its own component. A row without doc_id
-    keeps a null component and is kept; repeated rows share one. Other columns are ignored.
+    keeps a null component and is kept; repeated rows share one. Rows that share a doc_id with other texts are one document: what is
+    like any of its texts is joined to it, and all its rows with words share its component. Other columns are ignored.
 
     A pair of likeness 0.8 shares none of the 32 bands of 4 minima with probability 5e-8.
     """
@@ -235,9 +248,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     signed = stored(texts.mapInArrow(_signatures(width), "id long, n_shingles long, set_key long, set_check long, bands array<long>, bits array<long>"), "signatures")
+    same = ["set_key", "set_check", "n_shingles"]
     filled = signed.where("n_shingles > 0 AND id IS NOT NULL")
-    classes = stored(filled.groupBy("set_key", "set_check", "n_shingles").agg(F.min("id").alias("class_id")), "classes")
-    reps = filled.join(classes, ["set_key", "set_check", "n_shingles"]).where("id = class_id").select("class_id", "n_shingles", "bands", "bits").dropDuplicates(["class_id"])
+    # Written at once, so the numbers stay; a class is a set, whatever doc_ids its rows have.
+    classes = filled.groupBy(*same).agg(F.min("id").alias("least_id")).select(*same, "least_id", F.monotonically_increasing_id().alias("class"))
+    classes = stored(classes, "classes")
+    # Equal sets have equal signatures, so any row of the least id with that set serves.
+    reps = filled.join(classes, same).where("id = least_id").select(F.col("class").alias("class_id"), "n_shingles", "bands", "bits").dropDuplicates(["class_id"])
     reps = stored(reps, "representatives")
     buckets = reps.select("class_id", F.explode("bands").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count("*").alias("m"), F.min("class_id").alias("pivot")).where("m > 1")
@@ -248,15 +265,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         many.where("x != pivot").select(F.col("pivot").alias("a"), F.col("x").alias("b")).distinct()
     )
     near = stored(_likely(pairs.distinct(), reps, percent), "candidates")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("id")).unionAll(many.select(F.col("x").alias("id"))).distinct()
-    sets = texts.join(wanted, "id", "left_semi").mapInArrow(_full_sets(width), "id long, members binary")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("class")).unionAll(many.select(F.col("x").alias("class"))).distinct()
+    wanted = stored(classes.join(wanted, "class", "left_semi"), "wanted")
+    sets = texts.join(wanted.select(F.col("least_id").alias("id")).distinct(), "id", "left_semi")
+    sets = sets.mapInArrow(_full_sets(width), "set_key long, set_check long, n_shingles long, members binary")
+    sets = sets.join(wanted, same).select(F.col("class").alias("id"), "members")
     sets = stored(sets.dropDuplicates(["id"]), "sets")
     links = stored(_confirmed(near, sets, percent), "links")
     joined = stored(components(links), "components")
     more = stored(_between_components(many, joined, sets, percent), "links")
+    placed = signed.select("id", *same).join(classes, same, "left").select("id", "n_shingles", "class", "least_id")
+    placed = stored(placed, "placed")
+    # Rows that share a doc_id are one document, so their sets are joined through it.
+    shared = placed.where("id IS NOT NULL").groupBy("id").agg(F.min("class").alias("b"), F.max("class").alias("c")).where("b != c").select("id", "b")
+    by_id = placed.join(shared, "id").where("class != b").select(F.col("class").alias("a"), "b").distinct()
+    more = stored(more.unionAll(by_id), "links")
     if not more.isEmpty():
         joined = stored(components(links.unionAll(more)), "components")
-    found = signed.join(classes, ["set_key", "set_check", "n_shingles"], "left").select("id", "n_shingles", F.coalesce("class_id", "id").alias("class_id"))
-    found = found.join(joined, found.class_id == joined.node, "left").select("id", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    found = found.withColumn("class_id", F.expr("if(id IS NULL, NULL, class_id)")).withColumn("component_id", F.expr("if(id IS NULL, NULL, component_id)"))
-    return found.select(F.col("id").alias("doc_id"), "n_shingles", "class_id", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    named = classes.select("class", "least_id").join(joined, F.col("class") == F.col("node")).groupBy("component").agg(F.min("least_id").alias("component_id"))
+    joined = joined.join(named, "component").select("node", "component_id")
+    found = placed.join(joined, placed["class"] == joined["node"], "left")
+    own = lambda *x: F.when(F.col("id").isNotNull(), F.coalesce(*x, "id"))
+    found = found.select(F.col("id").alias("doc_id"), "n_shingles", own("least_id").alias("class_id"), own("component_id", "least_id").alias("component_id"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
