@@ -31,7 +31,8 @@ def preference_pairs(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     Turns at one number that are equal in role and text count once; several different ones stand in the order of role and text
     and are compared as a whole. A null role is "unknown", a null text empty. Rows without conv_id or turn belong to no
     conversation. A pair with an equal, or a missing, second conversation: first_difference is null where all turns agree (all is prompt),
-    else the first turn that only one has. Other columns are ignored.
+    else the first turn that only one has. A repeated row of ``pairs`` changes nothing; several rows of one pair_id with
+    different conversations put their turns together on either side. Other columns are ignored.
     """
     clean = turns.where("conv_id IS NOT NULL AND turn IS NOT NULL").select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -40,15 +41,16 @@ def preference_pairs(turns: DataFrame, pairs: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).distinct()
     sides = pairs.select("pair_id", F.expr("stack(2, 'chosen', chosen_id, 'rejected', rejected_id) AS (side, conv_id)"))
-    met = clean.join(sides, "conv_id").select("pair_id", "side", "turn", "role", "text")
-    # A turn of one side only, or one whose rows differ, ends the common prefix. Equal rows of both sides fall together.
-    one = met.groupBy("pair_id", "turn", "role", "text").agg(F.count("*").alias("sides"))
-    first = one.groupBy("pair_id").agg(F.min(F.when(F.col("sides") < 2, F.col("turn"))).alias("first_difference"))
-    placed = met.join(first, "pair_id").withColumn(
-        "part", F.when(F.col("first_difference").isNull() | (F.col("turn") < F.col("first_difference")), "prompt").otherwise(F.col("side"))
-    )
-    # The prompt is rendered once: from the chosen side.
-    placed = placed.where("part != 'prompt' OR side = 'chosen'").withColumn("block", F.floor(F.col("turn") / BLOCK))
+    # One row per turn of a pair, with the sides that have it; repeated pairs fall together.
+    has = lambda side: F.max(F.col("side") == side)
+    met = clean.join(sides, "conv_id").groupBy("pair_id", "turn", "role", "text").agg(has("chosen").alias("c"), has("rejected").alias("r"))
+    # A turn of one side only, or one whose rows differ, ends the common prefix.
+    first = met.groupBy("pair_id").agg(F.min(F.when(~(F.col("c") & F.col("r")), F.col("turn"))).alias("first_difference"))
+    placed = met.join(first, "pair_id")
+    # The prompt is rendered once; after it a turn goes to each side that has it.
+    shared = F.col("first_difference").isNull() | (F.col("turn") < F.col("first_difference"))
+    parts = F.when(shared, F.array(F.lit("prompt"))).otherwise(F.array_compact(F.array(F.when(F.col("c"), F.lit("chosen")), F.when(F.col("r"), F.lit("rejected")))))
+    placed = placed.select("pair_id", "turn", "role", "text", "first_difference", F.explode(parts).alias("part"), F.floor(F.col("turn") / BLOCK).alias("block"))
     head, whole = _rendered("role", "text")
     group = Window.partitionBy("pair_id", "block", "part").orderBy("turn", "role", "text")
     cut = placed.withColumn("whole", whole).withColumn("skip", F.char_length(head))
