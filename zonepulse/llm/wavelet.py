@@ -149,7 +149,7 @@ class Shard:
 
 
 @lru_cache(maxsize=1)
-def _encoder(definition: str) -> PieceCache:
+def _encoder(definition: str, plain_specials: bool) -> PieceCache:
     """The tokenizer and what it has made of pieces so far; kept by a Python worker from one task to the next."""
     import os
 
@@ -157,16 +157,18 @@ def _encoder(definition: str) -> PieceCache:
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_str(definition)
-    model.encode_special_tokens = True
+    model.encode_special_tokens = plain_specials
     return PieceCache(lambda texts: [array("I", e.ids).tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)])
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> None:
+def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str, plain_specials: bool = False) -> None:
     """Encode every text of (doc_id, text), append ``end_id`` to each, and write the shards in ascending doc_id order.
 
     The dataset at ``path`` has a row per shard: range number, number in the range, first token's place in the range, token
     count and image. Spark's committed writer puts it there, so a lost executor leaves no half shard. Null texts are
     empty (the end id alone); a null doc_id comes first; equal doc_ids are ordered by text; other columns are ignored.
+    A special token's literal in a text becomes that token, as in a plain call of the tokenizer; ``plain_specials`` makes it
+    ordinary tokens, so that no document puts a control token into the training stream.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -174,7 +176,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str) -> Non
         definition = spark.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _encoder(definition.value)
+        cache = _encoder(definition.value, plain_specials)
         end = np.array([end_id], "<u4").tobytes()
         held: list[bytes] = []
         names: list[int | None] = []
@@ -237,9 +239,9 @@ def read_tokens(shards: DataFrame) -> DataFrame:
     return placed.mapInArrow(_documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def encode_round_trip(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def encode_round_trip(docs: DataFrame, tokenizer: str, end_id: int, plain_specials: bool = False) -> DataFrame:
     """Write the shards to the shared folder and read every document back from them."""
     spark = docs.sparkSession
     path = scratch_path(spark, "tokens")
-    write_tokens(docs, tokenizer, end_id, path)
+    write_tokens(docs, tokenizer, end_id, path, plain_specials)
     return read_tokens(spark.read.parquet(path))
