@@ -90,7 +90,6 @@ def test_wavelet_round_trip(spark, messy):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
     texts, ids = messy
     found = wavelet.encode_round_trip(frame(spark, texts, ids), P.path("byte_bpe_50k.json"), 2).collect()
     order = sorted(zip(ids, texts, strict=True), key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or ""))
@@ -409,3 +408,77 @@ def test_repeats_of_the_production_length(spark):
     found = repeats.remove_repeats(frame(spark, texts), 400).collect()
     assert sorted(tuple(r) for r in found) == [(i, *x) for i, x in enumerate(brute_repeats(texts, 400))]
     assert sum(r["n_removed"] for r in found) > 0
+
+
+def test_broken_pages_take_linear_time(spark):
+    """A megabyte of tags that nothing closes; the time bound leaves room for a busy machine."""
+    import time
+
+    assert main_text.main_text("<p>a</p><!-- c --><p>b</p><!-- open <p>d</p>") == "a\nb\nopen\nd"
+    for piece in ("<!--", "<!-- x", "<div>x", "<p>x", "<a><div><b></a>", "<td>x", "</p>"):
+        start = time.monotonic()
+        main_text.main_text(piece * (1_000_000 // len(piece)))
+        assert time.monotonic() - start < 15, piece
+    for piece in ("<!--", "<!-- x", "<script>", "<head>x", "<div>x", "<"):
+        start = time.monotonic()
+        warc.plain_text(piece * (1_000_000 // len(piece)))
+        assert time.monotonic() - start < 15, piece
+
+
+def test_warc_text_of_written_pages():
+    """Expected texts written out by hand."""
+    cases = {
+        "": "", "<p>a  b\n c</p><p>d &amp; e</p>": "a b c\nd & e", "x<!-- no -->y": "xy", "x<!-- y": "x<!-- y", "x<script>no</script >y<SCRIPT>no</SCRIPT>z": "x\ny\nz",
+        "<head><title>t</title></head><body>b": "b", "<script>open <b>bold</b>": "open bold", "a<br>b<br/>c": "a\nb\nc", "<style>p{}</style><script><!-- x --></script>end": "end",
+        "<b>in</b>line": "inline", "1 < 2 <i>ok</i>": "1 < 2 ok",
+    }
+    assert {k: warc.plain_text(k) for k in cases} == cases
+
+
+def test_warc_records_carry_the_source(spark):
+    source = warc.responses(spark.createDataFrame([(1, "u", PAGE), (2, None, None)], "page_id long, url string, html string"), "2024-01-01T00:00:00Z")
+    origin = {r["record_id"]: r for r in source.collect()}
+    for r in warc.derivatives(source).collect():
+        head, _ = warc.parse(bytes(r["record"]))
+        given = origin[head["WARC-Refers-To"]]
+        assert head["Source-Payload-Digest"] == given["payload_digest"] and head["Source-Header-Content-Type"] == "text/html; charset=utf-8"
+        assert head["Source-Header-Content-Length"] == str(len(given["payload"]))
+
+
+def test_preferences_of_repeated_pairs(spark):
+    turns = spark.createDataFrame(
+        [(0, 0, "user", "hi"), (0, 1, "assistant", "a"), (1, 0, "user", "hi"), (1, 1, "assistant", "b"), (2, 0, "user", "hi"), (2, 1, "assistant", "c")],
+        "conv_id long, turn long, role string, text string",
+    )
+    made = lambda rows: [tuple(r) for r in preferences.preference_pairs(turns, spark.createDataFrame(rows, "pair_id long, chosen_id long, rejected_id long")).collect()]
+    once = made([(7, 0, 1)])
+    assert len(once) == 1 and once[0][2] == 1 and once[0][3] == "<|user|>\nhi\n<|end|>\n" and once[0][4] == "<|assistant|>\na\n<|end|>\n"
+    assert made([(7, 0, 1), (7, 0, 1), (7, 0, 1)]) == once
+    both = made([(7, 0, 1), (7, 2, 1)])[0]
+    assert both[3] == once[0][3] and both[4] == "<|assistant|>\na\n<|end|>\n<|assistant|>\nc\n<|end|>\n" and both[5] == once[0][5]
+    same = made([(7, 0, 0)])[0]
+    assert same[2] is None and same[4] == same[5] == ""
+
+
+def test_near_duplicates_of_shared_ids(spark):
+    """Different texts under one doc_id are one document, whatever the order of the rows."""
+    rng = random.Random(11)
+    a, b = words(rng, 60), words(rng, 60)
+    rows = [(5, a), (5, b), (7, a + " x"), (8, b + " y"), (9, a), (10, b), (11, words(rng, 60)), (5, None), (12, b + " z w"), (None, a)]
+    for _ in range(3):
+        rng.shuffle(rows)
+        found = near_duplicates(frame(spark, [t for _, t in rows], [i for i, _ in rows]), 2, 80).collect()
+        got = collections.Counter((r["doc_id"], r["component_id"]) for r in found)
+        assert got == collections.Counter([(5, 5)] * 3 + [(7, 5), (8, 5), (9, 5), (10, 5), (11, 11), (12, 5), (None, None)])
+
+
+def test_wavelet_option_for_special_literals(spark):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    text = "a <|endoftext|> b<|endoftext|>\n<|endoftext|>.  <|endoftext|> c, <|endoftext|>"
+    for plain in (False, True):
+        model.encode_special_tokens = plain
+        ids = np.array([*model.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        assert [tuple(r)[2:4] for r in wavelet.encode_round_trip(frame(spark, [text]), P.path("byte_bpe_50k.json"), 2, plain).collect()] == [(len(ids), zlib.crc32(ids.tobytes()))]
+        assert plain != (50256 in ids)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -83,8 +84,8 @@ def _named(tag: str, key: str, value: str, inside: bool) -> bool:
     return False
 
 
-def _boilerplate(tag: str, attrs: list[tuple[str, str | None]], around: list[tuple[str, int, bool]]) -> bool:
-    inside = any(t in ("article", "main") for t, _, _ in around)
+def _boilerplate(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
+    """Whether an element is left out by what it is called; ``inside``: an article or main element is open around it."""
     if tag in NEVER or tag == "header" and not inside:
         return True
     for key, value in attrs:
@@ -99,13 +100,22 @@ def _boilerplate(tag: str, attrs: list[tuple[str, str | None]], around: list[tup
 
 
 class Lines(HTMLParser):
-    """Collects (path of open element numbers, text, tags) of each line of a page that may be content."""
+    """Collects (innermost open block, text, tags) of each line of a page that may be content.
+
+    Elements are numbered as they open; ``parents`` holds the number of the block around each (-1: none). Where each tag was opened
+    last is kept, so that no step walks along the open elements and time is linear in the page.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
+        #: Open elements: tag, number, whether left out.
         self.open: list[tuple[str, int, bool]] = []
-        self.lines: list[tuple[tuple[int, ...], str, int]] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.scopes: list[int] = []
+        self.blocks: list[int] = [-1]
+        self.lines: list[tuple[int, str, int]] = []
         self.kinds: list[str] = []
+        self.parents: list[int] = []
         self.skipped = 0
         self.text: list[str] = []
         self.tags = 0
@@ -120,12 +130,12 @@ class Lines(HTMLParser):
             return
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((tuple(n for t, n, _ in self.open if t in BLOCKS), text, self.tags))
+            self.lines.append((self.blocks[-1], text, self.tags))
         self.text, self.tags = [], 0
 
     def _end_head(self, tag: str | None) -> None:
         """Close the head if text (None) or this start tag cannot stand in it; a first body also closes what stands before it."""
-        if tag == "body" and all(t != "body" for t, _, _ in self.open):
+        if tag == "body" and not self.places["body"]:
             if not self.skipped:
                 self.flush()
             self._close(next((i for i, (t, _, _) in enumerate(self.open) if t != "html"), len(self.open)))
@@ -137,18 +147,25 @@ class Lines(HTMLParser):
         if tag in BLOCKS and not self.skipped:
             self.flush()
         for closed in CLOSES.get(tag, ()):
-            self._imply(closed)
+            self._end(closed, True)
         if not self.skipped:
             self.tags += 1
             if tag == "br":
                 self.text.append(" ")
         if tag in VOID:
             return
-        skip = bool(self.skipped) or _boilerplate(tag, attrs, self.open)
+        skip = bool(self.skipped) or _boilerplate(tag, attrs, bool(self.places["article"] or self.places["main"]))
         if skip and not self.skipped and tag not in BLOCKS:
             self.text.append(" ")
-        self.open.append((tag, len(self.kinds), skip))
+        place, number = len(self.open), len(self.kinds)
+        self.open.append((tag, number, skip))
+        self.places[tag].append(place)
+        if tag in SCOPE:
+            self.scopes.append(place)
         self.kinds.append(tag)
+        self.parents.append(self.blocks[-1])
+        if tag in BLOCKS:
+            self.blocks.append(number)
         self.skipped += skip
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -156,28 +173,27 @@ class Lines(HTMLParser):
         if tag not in VOID and tag not in BLOCKS:
             self.handle_endtag(tag)
 
-    def _imply(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._close(i)
-                return
-            if self.open[i][0] in SCOPE:
-                return
+    def _end(self, tag: str, scoped: bool) -> None:
+        """Close the last open element of this tag with all in it; ``scoped``: unless an element that bounds it opened since."""
+        places = self.places[tag]
+        if places and not (scoped and self.scopes and self.scopes[-1] > places[-1]):
+            self._close(places[-1])
 
-    def _close(self, i: int) -> None:
-        self.skipped -= sum(s for _, _, s in self.open[i:])
-        del self.open[i:]
+    def _close(self, place: int) -> None:
+        while len(self.open) > place:
+            tag, _, skip = self.open.pop()
+            self.places[tag].pop()
+            self.skipped -= skip
+            if tag in SCOPE:
+                self.scopes.pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS and not self.skipped:
             self.flush()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._close(i)
-                return
-            # An inline end tag does not close blocks.
-            if tag not in BLOCKS and tag != "head" and self.open[i][0] in SCOPE:
-                return
+        # An inline end tag does not close blocks.
+        self._end(tag, tag not in BLOCKS and tag != "head")
 
     def handle_data(self, data: str) -> None:
         if data.strip():
@@ -199,7 +215,9 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = Lines()
-    page.feed(html)
+    # Beyond the last end of a comment none ends, so what opens one there is no comment and the text after it stays.
+    last = html.rfind("-->") + 1
+    page.feed(html[:last] + html[last:].replace("<!--", ""))
     page.close()
     page.flush()
     if not page.lines:
@@ -207,14 +225,22 @@ def main_text(html: str | None) -> str:
     ratios = np.array([len(text) / max(1, tags) for _, text, tags in page.lines])
     smooth = smoothed(ratios)
     content = smooth >= SHARE * smooth.std()
-    # Elements around all clustered text, without those that are only a piece of text.
-    around: list[int] = []
-    for level in zip(*(path for (path, _, _), inside in zip(page.lines, content, strict=True) if inside), strict=False):
-        if len(set(level)) > 1:
-            break
-        around.append(level[0])
-    region = next((n for n in reversed(around) if page.kinds[n] not in PIECES), None)
-    return "\n".join(text for path, text, _ in page.lines if region is None or region in path)
+    # The innermost element around all clustered lines that is more than a piece of text; children have greater numbers than parents.
+    held = [0] * len(page.kinds)
+    for (block, _, _), clustered in zip(page.lines, content, strict=True):
+        if clustered and block >= 0:
+            held[block] += 1
+    for n in range(len(held) - 1, -1, -1):
+        if page.parents[n] >= 0:
+            held[page.parents[n]] += held[n]
+    total = int(content.sum())
+    region = next((n for n in range(len(held) - 1, -1, -1) if held[n] == total and page.kinds[n] in BLOCKS and page.kinds[n] not in PIECES), None) if total else None
+    if region is None:
+        return "\n".join(text for _, text, _ in page.lines)
+    within = [False] * len(page.kinds)
+    for n, parent in enumerate(page.parents):
+        within[n] = n == region or parent >= 0 and within[parent]
+    return "\n".join(text for block, text, _ in page.lines if block >= 0 and within[block])
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """WARC derivatives: a metadata and a plain-text conversion record for every response.
 
-Both records name the response they come from in WARC-Refers-To and repeat its target, date and payload digest. The
-metadata record lists the source's headers and sizes and links to the conversion record; the conversion record is the text.
+Both records name the response they come from in WARC-Refers-To and repeat its target, date, payload digest and headers in
+fields of their own (Source-Payload-Digest, Source-Header-...). The metadata record's block lists the source's headers and sizes and links to
+the conversion record; the conversion record's block is the text.
 Identifiers are derived from content, so a task that runs again writes the same records.
 """
 
@@ -21,9 +22,14 @@ from pyspark.sql import functions as F
 from zonepulse.llm.arrays import slices, small_batches
 
 VERSION = "WARC/1.1"
+#: Parts lines of text while tags are taken out.
+LINE = "\0"
 #: Markup that leaves no text, and tags that end a line of text.
-DROPPED = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>")
+OPENER = re.compile(r"(?i)<!--|<(script|style|noscript|template|head)\b")
+CLOSERS = {kind: re.compile(rf"(?i)</{kind}\s*>") for kind in ("script", "style", "noscript", "template", "head")} | {"": re.compile("-->")}
 BREAK = re.compile(r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|td|th|table|article|section|header|footer|nav|aside|blockquote|pre|form|hr|title|body|html)\b[^<>]*>")
+#: What cannot stand in the name of a field.
+FIELD = re.compile(r"[^A-Za-z0-9_-]")
 TAG = re.compile(r"<[a-zA-Z/!?][^<>]*>")
 
 
@@ -35,10 +41,27 @@ def record_id(*parts: object) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, '|'.join(map(str, parts)))}>"
 
 
+def without_dropped(markup: str) -> str:
+    """The markup without comments, and with line signs for scripts and the like; an opener that nothing closes stays, as a tag like others.
+
+    Each closer is looked for from where the last one ended, and no more once there is none, so time is linear in the page.
+    """
+    out, kept, at, missing = [], 0, 0, set()
+    while found := OPENER.search(markup, at):
+        at, kind = found.end(), (found[1] or "").lower()
+        end = None if kind in missing else CLOSERS[kind].search(markup, at)
+        if end:
+            out += [markup[kept : found.start()], LINE if kind else ""]
+            kept = at = end.end()
+        else:
+            missing.add(kind)
+    return "".join([*out, markup[kept:]])
+
+
 def plain_text(markup: str) -> str:
-    """All text of a page, one line per block, white space within lines as single spaces."""
-    bare = TAG.sub("", BREAK.sub("\n", DROPPED.sub("\n", markup)))
-    lines = (" ".join(x.split()) for x in html.unescape(bare).split("\n"))
+    """All text of a page, one line per block, white space within lines (line ends of the source too) as single spaces."""
+    bare = TAG.sub("", BREAK.sub(LINE, without_dropped(markup.replace(LINE, " "))))
+    lines = (" ".join(x.split()) for x in html.unescape(bare).split(LINE))
     return "\n".join(x for x in lines if x)
 
 
@@ -50,7 +73,8 @@ def header_block(fields: list[tuple[str, str]]) -> bytes:
 def record(kind: str, own: str, source: dict, content_type: str, block: bytes) -> bytes:
     fields = [
         ("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Refers-To", source["record_id"]), ("WARC-Target-URI", source["uri"]),
-        ("WARC-Date", source["date"]), ("WARC-Block-Digest", digest(block)), ("Content-Type", content_type), ("Content-Length", str(len(block))),
+        ("WARC-Date", source["date"]), ("WARC-Block-Digest", digest(block)), ("Source-Payload-Digest", source["payload_digest"]),
+        *((f"Source-Header-{FIELD.sub('-', k)}", v) for k, v in source["headers"]), ("Content-Type", content_type), ("Content-Length", str(len(block))),
     ]
     return header_block(fields) + block + b"\r\n\r\n"
 
@@ -72,7 +96,7 @@ def derive(source: dict) -> tuple[bytes, bytes]:
     fields = [
         ("source-payload-digest", source["payload_digest"]), ("source-content-length", str(len(source["payload"]))),
         ("conversion-record-id", to_text), ("conversion-payload-digest", digest(text)), ("conversion-length", str(len(text))),
-        *((f"source-header-{k.lower()}", v.replace("\r", " ").replace("\n", " ")) for k, v in source["headers"]),
+        *((f"source-header-{FIELD.sub('-', k).lower()}", v.replace("\r", " ").replace("\n", " ")) for k, v in source["headers"]),
     ]
     meta = "".join(f"{k}: {v}\r\n" for k, v in fields).encode("utf-8", "surrogatepass")
     return record("metadata", to_meta, source, "application/warc-fields", meta), record("conversion", to_text, source, "text/plain; charset=utf-8", text)
@@ -119,11 +143,11 @@ def derivatives(found: DataFrame, keep_records: bool = True) -> DataFrame:
             for part in slices(batch, "payload"):
                 rows = []
                 for x in part.select(names).to_pylist():
-                    source = x | {"payload": x["payload"] or b"", "headers": [(h["name"], h["value"] or "") for h in x["headers"] or []]}
+                    source = x | {"payload": x["payload"] or b"", "headers": [(h["name"] or "", h["value"] or "") for h in x["headers"] or []]}
                     source |= {"uri": x["uri"] or "", "date": x["date"] or "", "payload_digest": x["payload_digest"] or digest(source["payload"])}
                     for raw in derive(source):
                         head, block = parse(raw)
-                        row = [x["page_id"], head["WARC-Type"], head["WARC-Record-ID"], head["WARC-Refers-To"], head["WARC-Target-URI"], source["payload_digest"], head["WARC-Block-Digest"], len(block), len(block.decode())]
+                        row = [x["page_id"], head["WARC-Type"], head["WARC-Record-ID"], head["WARC-Refers-To"], head["WARC-Target-URI"], head["Source-Payload-Digest"], head["WARC-Block-Digest"], len(block), len(block.decode())]
                         rows.append([*row, raw] if keep_records else row)
                 kinds = [pa.int64(), *[pa.string()] * 6, pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=False)], names=[f.split()[0] for f in fields.split(", ")])
