@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from zonepulse.llm import arrays, decontaminate, fingerprints, main_text, near_dup, pieces, preferences, repeats, toxicity, warc, wavelet
 from zonepulse.llm.bpe import encode_texts
@@ -248,6 +249,32 @@ def test_toxicity(spark):
     assert {r["score"] > 0.01 for r in toxicity.scores(docs, toxicity.fit(docs, labels.limit(0))).collect()} == {False}
 
 
+def test_toxicity_dictionaries(spark):
+    """Training keeps rare cells, works on any number of samples, and takes one row of a doc_id."""
+    rng = random.Random(8)
+    names = [bytes(rng.choices(b"abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(40)]
+    cells = [x.ljust(toxicity.CELL, b"\xff") for x in names]
+    samples = [b"".join(sorted({cells[min(int(rng.expovariate(0.2)), 39)] for _ in range(6)})) for _ in range(500)] + [cells[39]]
+    held = toxicity.trained(samples, 2 * toxicity.CELL * 40, toxicity.CELL)
+    used = {c[:8] for c in cells if any(c in x for x in samples)}
+    assert len(used) > 25 and [x for x in used if x[:6] not in held and x[2:] not in held] == []
+    assert names[0] in toxicity.trained(cells[:1], 512, toxicity.CELL)
+    assert toxicity.trained([], 512, toxicity.CELL) == toxicity.trained([b"", b"short"], 512, toxicity.CELL) == b""
+    # The tables before the content are gone, so nothing of a dictionary's head is matched.
+    assert toxicity.OFFSETS not in held and not held.startswith(bytes.fromhex("37a430ec"))
+    texts = [words(rng, 40) + (" awfulthing" * 3 if i % 2 else "") for i in range(80)]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    many = docs.unionByName(docs.where("doc_id = 1")).unionByName(docs.where("doc_id = 1")).withColumn("toxic", F.lit(7))
+    one, more = toxicity.fit(docs, labels), toxicity.fit(many, labels)
+    assert b"awful" in one.toxic and (one.toxic, one.ordinary) == (more.toxic, more.ordinary) and np.allclose(one.weights, more.weights)
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.scores(docs, one).collect()}
+    assert [found[i] for i in range(60, 80)] == [i % 2 for i in range(60, 80)]
+    # Labels of one kind only, and labels of no document.
+    assert {r["predicted"] for r in toxicity.scores(docs, toxicity.fit(docs, labels.where("toxic = 0"))).collect()} == {0}
+    assert toxicity.scores(docs, toxicity.fit(docs.limit(0), labels)).where("score IS NULL").count() == 0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav>
 <div class="ad">Buy this now, it is the best there is.</div><article><h1>Head &amp; more</h1><p>First <b>bold</b>
  line of the   article&nbsp;text.<p>Second line of it, &eacute;&#233; long enough to count.<script>var t="</p>";</script></p></article>

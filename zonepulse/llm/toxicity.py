@@ -1,10 +1,11 @@
-"""Toxicity by compression distance between two zstandard dictionaries.
+"""Toxicity by compression distance between two dictionaries that zstandard trains, one on toxic and one on ordinary text.
 
-Both dictionaries end with the same content, trained by zstandard on ordinary text. Before it the toxic one has the segments
-that set toxic text apart: word beginnings that far more toxic than ordinary texts contain, extended while half of the
-toxic words go along. The ordinary one has filler of the same length there, so both compress a window to the
-same length unless it repeats toxic segments: the difference is what the toxic dictionary saves. (Two dictionaries trained by
-frequency alone mostly hold what both kinds of text share, and their differences are noise.)
+The ordinary dictionary is trained on distinct windows of ordinary texts. The toxic one is trained on contrasted samples: of each
+toxic text (one per group of near copies) only the word beginnings that far more toxic than ordinary texts contain, extended while
+half of the toxic words go along, each in a cell of ``CELL`` bytes, as long as the segments the training picks. (Trained on whole
+texts a dictionary mostly holds what both kinds of text share, and the differences are noise.) The toxic compressor
+holds its dictionary before the ordinary one; the ordinary compressor has filler of the same length there, so both compress a
+window to the same length unless it repeats toxic segments: the difference is what the toxic dictionary saves.
 
 A window is six words. A fixed tail that both dictionaries hold makes every window compressible, else zstandard would
 store short ones and show no difference. The mean saving, the share and number of windows over a threshold and the largest saving are
@@ -25,9 +26,13 @@ from pyspark.sql import functions as F
 
 from zonepulse.llm.arrays import small_batches
 
-#: Labelled rows of each kind that a fit may use, taken in the order of a hash of doc_id.
-TOXIC_ROWS, ORDINARY_ROWS = 2000, 6000
-WINDOW, GRAM, SEGMENTS, CONTENT = 6, 5, 256, 1024
+WINDOW, GRAM = 6, 5
+#: Bytes of a cell of a toxic sample, which is also the length of the segments that the training picks by grams of GRAIN bytes.
+CELL, GRAIN = 16, 6
+#: Samples, and bytes of samples for each byte of a dictionary, that the training is given at least.
+SAMPLES, SAMPLE_BYTES = 64, 10
+#: What ends the entropy tables at the head of a trained dictionary: its three fixed repeat offsets.
+OFFSETS = bytes([1, 0, 0, 0, 4, 0, 0, 0, 8, 0, 0, 0])
 #: Likelihood ratio of a word beginning, and its least relative frequency in toxic text.
 CONTRAST, TIMES = 20.0, 6.0
 TAIL = bytes(range(0x80, 0xA0))
@@ -47,6 +52,14 @@ def _openings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist([{"toxic": toxic, "copy_key": key, "grams": grams}], schema=pa.schema([("toxic", pa.int32()), ("copy_key", pa.int64()), ("grams", pa.list_(pa.binary()))]))
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of each text."""
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            words = words_of(text)
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(words[i : i + WINDOW]) for i in range(0, len(words), WINDOW)], pa.binary())], names=["window"])
+
+
 def copy_key(words: list[bytes]) -> int:
     import zlib
 
@@ -80,6 +93,20 @@ def _stem(words: Counter) -> bytes:
     return best or max(words.items(), key=lambda x: (x[1], x[0]))[0]
 
 
+def trained(samples: list[bytes], size: int, length: int) -> bytes:
+    """Content of a dictionary that zstandard trains on the samples, without its entropy tables; empty without samples.
+
+    The training counts how many samples hold a gram, picks a segment from each of ``size / length / 4`` stretches of them in turn and ends
+    when several have nothing new. So all are given equally often, once a stretch at least and until they are enough.
+    """
+    samples = [x for x in samples if len(x) >= length]
+    if not samples:
+        return b""
+    times = max(size // length // 4 + 1, -(-SAMPLES // len(samples)), -(-SAMPLE_BYTES * size // sum(map(len, samples))))
+    held = zstandard.train_dictionary(size, samples * times, k=length, d=GRAIN).as_bytes()
+    return held[held.index(OFFSETS) + len(OFFSETS) :]
+
+
 def aligned(segments: list[bytes]) -> bytes:
     """Each segment at all three remainders of the position by 3: zstandard indexes every third place of a dictionary."""
     out = b""
@@ -91,21 +118,23 @@ def aligned(segments: list[bytes]) -> bytes:
 
 @dataclass
 class Model:
-    segments: bytes
-    content: bytes
+    """The toxic and the ordinary dictionary, and the weights of the calibration."""
+
+    toxic: bytes
+    ordinary: bytes
     weights: list[float]
 
     def compressors(self):
         def one(front: bytes):
-            held = zstandard.ZstdCompressionDict(front + self.content + TAIL, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            held = zstandard.ZstdCompressionDict(front + self.ordinary + TAIL, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             how = zstandard.ZstdCompressionParameters(
-                window_log=14, hash_log=12, chain_log=12, search_log=2, min_match=5, strategy=zstandard.STRATEGY_GREEDY,
+                window_log=14, hash_log=14, chain_log=14, search_log=2, min_match=5, strategy=zstandard.STRATEGY_GREEDY,
                 write_content_size=0, write_checksum=0, write_dict_id=0,
             )
             held.precompute_compress(compression_params=how)
             return zstandard.ZstdCompressor(dict_data=held, compression_params=how).compress
 
-        return one(b"\xff" * len(self.segments)), one(self.segments)
+        return one(b"\xff" * len(self.toxic)), one(self.toxic)
 
     def score(self, features: np.ndarray) -> np.ndarray:
         z = features @ np.array(self.weights[1:]) + self.weights[0]
@@ -156,31 +185,35 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
     return [float(w[0] - (w[1:] * mean / scale).sum()), *map(float, w[1:] / scale)]
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on a bounded sample: at most TOXIC_ROWS and ORDINARY_ROWS labelled rows, the first by a hash of doc_id.
+def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = 2000, ordinary_rows: int = 6000, windows: int = 40_000, beginnings: int = 256, sizes: tuple[int, int] = (4096, 1024)) -> Model:
+    """Fit on a bounded sample: one row of at most ``toxic_rows`` and ``ordinary_rows`` labelled doc_ids, the first by a hash of doc_id.
 
-    ``labels`` has doc_id and toxic (0 or 1; null is no label; several labels of one id count as toxic if one is). Word
-    beginnings are counted by Spark over the sample, one text per group of near copies. Without labels every score is 0.
+    ``labels`` has doc_id and toxic (0 or 1; null is no label; several labels of one id count as toxic if one is). Of rows that share
+    a doc_id one is taken, by a hash of its text. The ordinary dictionary is trained on at most ``windows`` distinct windows of the sample,
+    the first by a hash; the toxic one on at most ``beginnings`` word beginnings, those that set toxic texts apart most. ``sizes`` are the
+    largest sizes in bytes of the toxic and the ordinary dictionary. Word beginnings are counted by Spark over the sample, one text per
+    group of near copies. Without labels every score is 0.
     """
     spark = docs.sparkSession
     small_batches(spark)
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    sizes = {r["toxic"]: r["count"] for r in known.where("toxic IN (0, 1)").groupBy("toxic").count().collect()}
-    if not sizes:
+    labelled = {r["toxic"]: r["count"] for r in known.where("toxic IN (0, 1)").groupBy("toxic").count().collect()}
+    if not labelled:
         return Model(b"", b"", [-40.0, 0.0, 0.0, 0.0, 0.0])
     hashed = known.orderBy(F.xxhash64("doc_id"), "doc_id")
-    # At most TOXIC_ROWS + ORDINARY_ROWS ids.
-    chosen = [(r["doc_id"], r["toxic"]) for kind, n in ((1, TOXIC_ROWS), (0, ORDINARY_ROWS)) for r in hashed.where(F.col("toxic") == kind).limit(n).collect()]
+    # At most toxic_rows + ordinary_rows ids.
+    chosen = [(r["doc_id"], r["toxic"]) for kind, n in ((1, toxic_rows), (0, ordinary_rows)) for r in hashed.where(F.col("toxic") == kind).limit(n).collect()]
     picked = spark.createDataFrame(chosen, "doc_id long, toxic int")
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample = bare.join(F.broadcast(picked), "doc_id").select("toxic", "text").coalesce(max(1, spark.sparkContext.defaultParallelism))
+    sample = bare.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first")).select("toxic", "first.text")
     sample = sample.persist()
     try:
         texts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
         opened = sample.mapInArrow(_openings, "toxic int, copy_key long, grams array<binary>").dropDuplicates(["toxic", "copy_key"]).persist()
         kinds = {r["toxic"]: r["count"] for r in opened.groupBy("toxic").count().collect()}
         t, o = kinds.get(1, 0), kinds.get(0, 0)
-        segments: list[bytes] = []
+        samples: list[bytes] = []
+        grams: list[bytes] = []
         if t and o:
             one = lambda kind: F.sum(F.when(F.col("toxic") == kind, 1).otherwise(0)).cast("double")
             counts = opened.select("toxic", F.explode("grams").alias("gram")).groupBy("gram").agg(one(1).alias("a"), one(0).alias("b"))
@@ -188,20 +221,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             a, b = F.col("a"), F.col("b")
             both = a + b
             ratio = 2 * (part(a, both * t / (t + o)) + part(b, both * o / (t + o)))
-            best = counts.withColumn("ratio", ratio).where((ratio >= CONTRAST) & (a / t > TIMES * (b + 1) / o)).orderBy(F.desc("ratio"), "gram").limit(SEGMENTS)
-            grams = {bytes(r["gram"]) for r in best.select("gram").collect()}
-            found = sample.where("toxic = 1").mapInArrow(_toxic_words(grams), "word binary").groupBy("word").count() if grams else None
+            best = counts.withColumn("ratio", ratio).where((ratio >= CONTRAST) & (a / t > TIMES * (b + 1) / o)).orderBy(F.desc("ratio"), "gram").limit(beginnings)
+            grams = sorted(bytes(r["gram"]) for r in best.select("gram").collect())
+            found = sample.where("toxic = 1").mapInArrow(_toxic_words(set(grams)), "word binary").groupBy("word").count() if grams else None
             by: dict[bytes, Counter] = {}
-            # Words of the bounded sample that begin with one of at most SEGMENTS beginnings.
+            # Words of the bounded sample that begin with one of the chosen beginnings.
             for r in found.collect() if found is not None else []:
                 by.setdefault(bytes(r["word"])[:GRAM], Counter())[bytes(r["word"])] += r["count"]
-            segments = sorted({_stem(c) for c in by.values()})
-        lines = sample.where("toxic = 0").select(F.explode(F.split("text", "\n")).alias("line")).where("length(line) > 30").orderBy(F.xxhash64("line"), "line").limit(4000).collect()
-        windows = [b"".join(words_of(r["line"])) for r in lines]
-        content = b"".join(windows)[:CONTENT]
-        if len(windows) >= 100:
-            content = zstandard.train_dictionary(CONTENT, windows, k=32, d=6).as_bytes()
-        model = Model(aligned(segments), content, [])
+            cells = {g: _stem(c).ljust(max(CELL, len(_stem(c)) + 4), b"\xff") for g, c in by.items()}
+            held = opened.where("toxic = 1").select(F.array_intersect("grams", F.array(*map(F.lit, map(bytearray, grams)))).alias("held")).collect() if grams else []
+            samples = [b"".join(cells[bytes(g)] for g in sorted(map(bytes, r["held"]))) for r in held]
+        opened.unpersist()
+        distinct = sample.where("toxic = 0").mapInArrow(_windows, "window binary").distinct().orderBy(F.xxhash64("window"), "window").limit(windows)
+        ordinary = trained([bytes(r["window"]) for r in distinct.collect()], sizes[1], 2 * CELL)
+        model = Model(aligned([trained(sorted(set(samples)), min(sizes[0], max(32, 2 * len(grams)) * CELL), CELL)]), ordinary, [])
         rows = sample.mapInArrow(_measure(model, ["toxic"]), "toxic int, " + MEASURES).drop("score").collect()
         x = np.array([[r["mean_saving"], r["share"], r["hits"], r["most"]] for r in rows]).reshape(-1, 4)
         y = np.array([r["toxic"] for r in rows], float)
@@ -209,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             model.weights = [-40.0 if not y.any() else 40.0, 0.0, 0.0, 0.0, 0.0]
         else:
             # The sample's kinds weigh as much as they do among all labels.
-            share = {k: sizes.get(k, 0) / max(1, texts.get(k, 0)) for k in (0, 1)}
+            share = {k: labelled.get(k, 0) / max(1, texts.get(k, 0)) for k in (0, 1)}
             weight = np.array([share[int(k)] for k in y])
             model.weights = logistic(x, y, weight * len(y) / weight.sum())
         return model
