@@ -119,7 +119,7 @@ def _(spark, sf):
         (F.col("pickup_datetime") + F.expr("interval 1 hour")).alias("ts"),
     )
     fields = {"temperature_mean": "temperature_2m", "precipitation_sum": "precipitation", "wind_speed_max": "wind_speed_10m"}
-    found = R.payload_at(trips.join(payloads, ["pulocationid", "day"]), "payload", "ts", fields)
+    found = R.payload_lookup(trips, payloads, ["pulocationid", "day"], "payload", "ts", fields)
     return X.rounded(
         found.select("event_id", F.col("temperature_mean").isNotNull().alias("found"), *S.WEATHER_COLUMNS)
     )

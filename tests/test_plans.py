@@ -118,3 +118,15 @@ def test_conform_is_one_projection(trips):
     assert optimized.count("Project") == 1
 
 
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_payload_lookup_never_brings_a_payload_to_a_request(spark):
+    from checks import QUERIES
+
+    text = optimized(QUERIES["S8_payload_at"](spark, "/root/testdata/sf0.001"))
+    top = text[: text.index("Generate")]
+    assert "Join LeftOuter" in top and "payload" not in top and "from_json" not in top

@@ -635,3 +635,25 @@ def test_rank_places_lie_between_borders(spark):
     borders = F.array(*[F.lit(x) for x in range(0, 100, 2)])
     rows = spark.range(-3, 110).select("id", K._place(F.col("id").cast("int"), borders).alias("p")).collect()
     assert all(r["p"] == sum(b < r["id"] for b in range(0, 100, 2)) for r in rows)
+
+
+# --- payloads ------------------------------------------------------------
+
+
+def test_payload_lookup_equals_payload_at(spark):
+    texts = [
+        '{"hourly":{"time":["2024-01-01T00:00","2024-01-01T01:00","2024-01-01T01:00"],"t":["1.5","2.5","3.5"],"r":["7"]}}',
+        '{"hourly":{"time":["2024-01-01T01:00",null],"t":["x","4"]}}',
+        '{"hourly":{"t":["4"]}}',
+        "not json",
+        None,
+    ]
+    payloads = spark.createDataFrame(list(enumerate(texts)), "k int, payload string")
+    asked = spark.createDataFrame([(k, at(1, h)) for k in range(5) for h in range(3)], "k int, ts timestamp_ntz")
+    fields = {"temp": "t", "rain": "r"}
+    found = values(R.payload_lookup(asked, payloads, ["k"], "payload", "ts", fields), "k", "ts", "temp", "rain")
+    inside = values(R.payload_at(asked.join(payloads, "k"), "payload", "ts", fields), "k", "ts", "temp", "rain")
+    assert sorted(found, key=str) == sorted(inside, key=str)
+    assert (0, at(1, 1), 2.5, None) in found and (0, at(1, 0), 1.5, 7.0) in found
+    lone = R.payload_lookup(hours(spark, [(9, at(1))], "k int, ts timestamp_ntz"), payloads, ["k"], "payload", "ts", fields)
+    assert values(lone, "k", "temp", "rain") == [(9, None, None)]

@@ -108,11 +108,11 @@ def payload_at(
 ) -> DataFrame:
     """The array slot whose time is the request's hour; nulls if there is none.
 
-    Works inside the row, so a payload never has to be exploded or joined.
+    Works inside the row, so a payload never has to be exploded or joined. It is parsed for every row; where many requests
+    share a payload, ``payload_lookup`` parses it once.
     """
     parsed = _parse_payload(json_col, section, [time_field, *fields.values()])
-    wanted = F.date_format(hour_bucket(ts_col), "yyyy-MM-dd'T'HH:mm")
-    slot = F.array_position(parsed[time_field], wanted).cast("int")
+    slot = F.array_position(parsed[time_field], _slot_time(ts_col)).cast("int")
     return df.withColumns(
         {
             out: F.when(slot > 0, F.try_element_at(parsed[name], slot)).try_cast("double")
@@ -121,6 +121,36 @@ def payload_at(
     )
 
 
+def payload_lookup(
+    df: DataFrame,
+    payloads: DataFrame,
+    on: list[str],
+    json_col: str,
+    ts_col: str,
+    fields: dict[str, str],
+    section: str = "hourly",
+    time_field: str = "time",
+) -> DataFrame:
+    """As ``payload_at`` for payloads in a table of their own, one for each value of the columns ``on``.
+
+    Each payload is parsed once, its slots become rows (the first of equal times), and the requests join them on ``on`` and the
+    hour. A request without payload or slot stays, with nulls. Columns of ``payloads`` other than ``on`` are dropped.
+    """
+    parsed = _parse_payload(json_col, section, [time_field, *fields.values()])
+    none = F.expr("cast(array() AS array<string>)")
+    arrays = [F.coalesce(parsed[name], none).alias(f"_v{i}") for i, name in enumerate(fields.values())]
+    held = payloads.select(*on, parsed[time_field].alias("_times"), F.arrays_zip(parsed[time_field].alias("_time"), *arrays).alias("_zipped"))
+    slots = held.select(*on, "_times", F.posexplode("_zipped").alias("_at", "_slot"))
+    first = slots.where(F.array_position("_times", F.col("_slot._time")) == F.col("_at") + 1)
+    values = [F.col(f"_slot._v{i}").try_cast("double").alias(out) for i, out in enumerate(fields)]
+    asked = df.drop(*fields).withColumn("_time", _slot_time(ts_col))
+    return asked.join(first.select(*on, "_slot._time", *values), [*on, "_time"], "left").drop("_time")
+
+
+def _slot_time(ts_col: str):
+    return F.date_format(hour_bucket(ts_col), "yyyy-MM-dd'T'HH:mm")
+
+
 def _parse_payload(json_col: str, section: str, arrays: list[str]):
     inner = T.StructType([T.StructField(a, T.ArrayType(T.StringType())) for a in arrays])
     return F.from_json(as_col(json_col), T.StructType([T.StructField(section, inner)]))[section]
