@@ -577,7 +577,7 @@ def _(spark, sf):
     lines = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     top = rows.agg(F.max(lines)).scalar()
     variants = {
-        "same_rows": rows.repartition(5, "l_partkey"),
+        "same_rows": rows.hint("rebalance", "l_partkey"),
         "doubled_rows": rows.unionByName(rows),
         "one_cell_changed": rows.withColumn("l_tax", F.when(lines == top, F.col("l_tax") + 1).otherwise(F.col("l_tax"))),
     }

@@ -130,3 +130,15 @@ def test_payload_lookup_never_brings_a_payload_to_a_request(spark):
     text = optimized(QUERIES["S8_payload_at"](spark, "/root/testdata/sf0.001"))
     top = text[: text.index("Generate")]
     assert "Join LeftOuter" in top and "payload" not in top and "from_json" not in top
+
+
+def test_content_hash_check_deals_rows_out_by_size(spark, monkeypatch):
+    from checks import QUERIES
+    from zonepulse.operators import integrity as I
+
+    seen = []
+    hashed = I.content_hash
+    monkeypatch.setattr(I, "content_hash", lambda df: seen.append(optimized(df)) or hashed(df))
+    QUERIES["A30_content_hash"](spark, "/root/testdata/sf0.001")
+    dealt = [x for x in seen if "epartition" in x or "ebalance" in x]
+    assert len(dealt) == 1 and "RebalancePartitions" in dealt[0]
