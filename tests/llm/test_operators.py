@@ -509,3 +509,15 @@ def test_wavelet_option_for_special_literals(spark):
         ids = np.array([*model.encode(text, add_special_tokens=False).ids, 2], "<u4")
         assert [tuple(r)[2:4] for r in wavelet.encode_round_trip(frame(spark, [text]), P.path("byte_bpe_50k.json"), 2, plain).collect()] == [(len(ids), zlib.crc32(ids.tobytes()))]
         assert plain != (50256 in ids)
+
+
+def test_near_duplicates_filter_shuffles_no_text(spark):
+    texts = spark.range(20_000).select(F.when(F.col("id") % 100 != 1, F.col("id")).alias("id"), F.col("id").cast("string").alias("text"))
+    wanted = texts.where("id % 7 = 0").select("id")
+    found = near_dup._maybe_in(texts, wanted)
+    assert wanted.exceptAll(found.select("id")).isEmpty()
+    assert wanted.count() <= found.count() <= wanted.count() + 20
+    # Lines of the filter's own plan begin with a colon.
+    plan = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if not x.lstrip().startswith(":")]
+    assert any("scalar-subquery" in x for x in plan) and not any("Join" in x for x in plan)
+    assert near_dup._maybe_in(texts, wanted.where("id < 0")).isEmpty()

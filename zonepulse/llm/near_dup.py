@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.llm.arrays import ascii_tables, distinct_in_rows, mix, powers, shingle_hashes, slices, small_batches, utf8, word_hashes
 from zonepulse.llm.components import components
-from zonepulse.llm.scratch import stored
+from zonepulse.llm.scratch import stored, stored_at
 
 BANDS, ROWS, BITS = 32, 4, 4
 LONGS = BANDS * ROWS * BITS // 64
@@ -31,6 +31,8 @@ LONGS = BANDS * ROWS * BITS // 64
 SMALL = 4
 #: Members of a block of a cluster.
 BLOCK = 256
+#: Bits of the filter that says which texts are read again, and how many of them an id sets.
+FILTER_BITS, FILTER_HASHES = 1 << 24, 3
 #: Standard errors by which an estimate may lie under the threshold and still be looked at.
 SLACK = 6.0
 
@@ -228,6 +230,24 @@ def _between_components(many: DataFrame, joined: DataFrame, sets: DataFrame, per
     return rows.select("pair", "side", "id", "c", "members").groupBy("pair").applyInArrow(_joined_blocks(percent), "a long, b long")
 
 
+def _maybe_in(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of (id, text) whose id is among ``ids``, and some others.
+
+    Every task gets a Bloom filter of fixed size (2 MB), so no text is shuffled to find out, however many ids there are. At two million
+    ids about 3 % of the other rows pass; more ids let more pass and lose none.
+    """
+    places = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(FILTER_BITS)) for k in range(FILTER_HASHES)]
+    bit = F.expr("shiftleft(1L, cast(place & 63 AS int))")
+    words = ids.select(F.explode(F.array(*places)).alias("place")).groupBy(F.expr("place div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    every = ids.sparkSession.range(FILTER_BITS // 64).select(F.col("id").alias("word")).join(words, "word", "left")
+    dense = every.agg(F.sort_array(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits"))))["bits"].alias("bits"))
+    kept = dense.scalar()
+    for place in places:
+        word = F.get(kept, F.floor(place / 64).cast("int"))
+        texts = texts.where(word.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))) != 0)
+    return texts
+
+
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of the members that meet in a bucket."""
     met = left.join(right, "key").where("x != y")
@@ -255,23 +275,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = stored(classes, "classes")
     # Equal sets have equal signatures, so any row of the least id with that set serves.
     reps = filled.join(classes, same).where("id = least_id").select(F.col("class").alias("class_id"), "n_shingles", "bands", "bits").dropDuplicates(["class_id"])
-    reps = stored(reps, "representatives")
+    reps, _ = stored_at(reps, "representatives")
     buckets = reps.select("class_id", F.explode("bands").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count("*").alias("m"), F.min("class_id").alias("pivot")).where("m > 1")
-    members = stored(buckets.join(sizes, "key"), "buckets").withColumnRenamed("class_id", "x")
+    members, _ = stored_at(buckets.join(sizes, "key"), "buckets")
+    members = members.withColumnRenamed("class_id", "x")
     few = members.where(F.col("m") <= SMALL)
     many = members.where(F.col("m") > SMALL)
     pairs = _pairs(few.select("key", "x"), few.select("key", F.col("x").alias("y"))).unionAll(
         many.where("x != pivot").select(F.col("pivot").alias("a"), F.col("x").alias("b")).distinct()
     )
-    near = stored(_likely(pairs.distinct(), reps, percent), "candidates")
+    near, _ = stored_at(_likely(pairs.distinct(), reps, percent), "candidates")
     wanted = near.select(F.explode(F.array("a", "b")).alias("class")).unionAll(many.select(F.col("x").alias("class"))).distinct()
     wanted = stored(classes.join(wanted, "class", "left_semi"), "wanted")
-    sets = texts.join(wanted.select(F.col("least_id").alias("id")).distinct(), "id", "left_semi")
+    # The join on the sets' keys drops the texts that the filter let pass in vain.
+    sets = _maybe_in(texts, wanted.select(F.col("least_id").alias("id")).distinct())
     sets = sets.mapInArrow(_full_sets(width), "set_key long, set_check long, n_shingles long, members binary")
-    sets = sets.join(wanted, same).select(F.col("class").alias("id"), "members")
-    sets = stored(sets.dropDuplicates(["id"]), "sets")
-    links = stored(_confirmed(near, sets, percent), "links")
+    # One row a class: rows with the same keys lie together after the join.
+    sets = sets.join(wanted, same).dropDuplicates(same).select(F.col("class").alias("id"), "members")
+    sets, _ = stored_at(sets, "sets")
+    links, _ = stored_at(_confirmed(near, sets, percent), "links")
     joined = stored(components(links), "components")
     more = stored(_between_components(many, joined, sets, percent), "links")
     placed = signed.select("id", *same).join(classes, same, "left").select("id", "n_shingles", "class", "least_id")
