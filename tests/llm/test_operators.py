@@ -521,3 +521,24 @@ def test_near_duplicates_filter_shuffles_no_text(spark):
     plan = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if not x.lstrip().startswith(":")]
     assert any("scalar-subquery" in x for x in plan) and not any("Join" in x for x in plan)
     assert near_dup._maybe_in(texts, wanted.where("id < 0")).isEmpty()
+
+
+def test_piece_ids_equal_whole_texts_and_stay_bounded():
+    from tokenizers import Tokenizer
+
+    from zonepulse.llm.cuts import PieceIds
+
+    model = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    rng = random.Random(5)
+    marks = [" ", "  ", "\n", "\n\n", "\t", ".", ",", "..", "'s", "_", "\u00a0", "\u3000", "\u2003", "\x85", "\x00", "1", "23", "Wort", "é", "字", "<|endoftext|>", "<|", "|>", "a"]
+    texts = ["".join(rng.choices(marks, k=rng.randrange(14))) for _ in range(4000)]
+    asked = []
+    cache = PieceIds(lambda x: asked.extend(x) or [e.ids for e in model.encode_batch_fast(x, add_special_tokens=False)], limit=500)
+    for at in range(0, len(texts), 400):
+        raw = [x.encode() for x in texts[at : at + 400]]
+        ids, counts = cache(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(x) for x in raw])))
+        want = [e.ids for e in model.encode_batch_fast(texts[at : at + 400], add_special_tokens=False)]
+        assert counts.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x]
+        assert len(cache.number) <= 500 + 400 * 14
+    assert len(set(asked)) < len(asked)

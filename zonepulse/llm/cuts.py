@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 
@@ -43,3 +45,41 @@ def as_pieces(data: np.ndarray, cut: np.ndarray) -> pa.Array:
     """The parts between the cuts; they join to the data."""
     ends = np.append(cut, len(data)).astype(np.int64)
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cut), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())])
+
+
+class PieceIds:
+    """Token ids of whole texts from those of their distinct pieces, which are remembered up to about ``limit`` pieces or ``most`` ids."""
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], marks: bytes = b".,", limit: int = 900_000, most: int = 1 << 23) -> None:
+        self.encode, self.marks, self.limit, self.most = encode, marks, limit, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _numbers(self, keys: list[bytes]) -> np.ndarray:
+        """Numbers of distinct pieces; new ones are encoded."""
+        if len(self.number) > self.limit or len(self.ids) > self.most:
+            self._forget()
+        new = [k for k in keys if k not in self.number]
+        if new:
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+            found = [np.array(x, np.uint32) for x in self.encode([k.decode() for k in new])]
+            self.count = np.concatenate([self.count, [len(x) for x in found]])
+            self.ids = np.concatenate([self.ids, *found])
+        return np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the rows of UTF-8 bytes, one row after the other, and how many each row has."""
+        rows = len(offsets) - 1
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(rows, np.int64)
+        cut = borders(data, offsets[:-1], self.marks)
+        coded = as_pieces(data, cut).dictionary_encode()
+        piece = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        count = self.count[piece]
+        before = np.append(0, np.cumsum(count))
+        start = (np.cumsum(self.count) - self.count)[piece]
+        ids = self.ids[np.arange(before[-1]) + np.repeat(start - before[:-1], count)]
+        return ids, np.diff(before[np.searchsorted(cut, offsets)])

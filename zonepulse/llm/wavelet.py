@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,15 +21,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonepulse.llm.arrays import slices, small_batches
+from zonepulse.llm.arrays import slices, small_batches, utf8
+from zonepulse.llm.cuts import PieceIds
 from zonepulse.llm.order import NULL_KEY, range_parts
-from zonepulse.llm.pieces import PieceCache
 from zonepulse.sources.shared import scratch_path
 
 MAGIC = b"WVM1"
 BLOCK = 512
 #: A shard is closed once it holds so many tokens.
 SHARD_TOKENS = 1 << 19
+#: Bytes of text that are encoded at a time; a longer text is a pass of its own.
+PASS_BYTES = 1 << 23
 
 
 def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int], level: int = 1) -> bytes:
@@ -149,7 +150,7 @@ class Shard:
 
 
 @lru_cache(maxsize=1)
-def _encoder(definition: str, plain_specials: bool) -> PieceCache:
+def _encoder(definition: str, plain_specials: bool) -> PieceIds:
     """The tokenizer and what it has made of pieces so far; kept by a Python worker from one task to the next."""
     import os
 
@@ -158,7 +159,20 @@ def _encoder(definition: str, plain_specials: bool) -> PieceCache:
 
     model = Tokenizer.from_str(definition)
     model.encode_special_tokens = plain_specials
-    return PieceCache(lambda texts: [array("I", e.ids).tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)])
+    return PieceIds(lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold ``PASS_BYTES`` of text, so that a piece is looked up once in all of it."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(text).nbytes
+        if size >= PASS_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str, plain_specials: bool = False) -> None:
@@ -193,11 +207,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, path: str, plain_
             return row.cast(pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("first", pa.int64()), ("n_tokens", pa.int64()), ("image", pa.binary())]))
 
         size = 0
-        for batch in batches:
-            for piece in slices(batch, "text"):
+        for batch in _gathered(batches, "text"):
+            for piece in slices(batch, "text", 2 * PASS_BYTES):
                 part = piece.column("part")[0].as_py()
-                for doc_id, parts in zip(piece.column("doc_id").to_pylist(), cache(piece.column("text").to_pylist()), strict=True):
-                    held.append(b"".join(parts) + end)
+                ids, counts = cache(*utf8(piece, "text"))
+                ends = np.cumsum(counts)
+                for doc_id, s, e in zip(piece.column("doc_id").to_pylist(), ends - counts, ends, strict=True):
+                    held.append(ids[s:e].tobytes() + end)
                     names.append(doc_id)
                     size += len(held[-1]) // 4
                     if size >= SHARD_TOKENS:
