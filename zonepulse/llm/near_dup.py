@@ -249,9 +249,9 @@ def _maybe_in(texts: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of the members that meet in a bucket."""
+    """Pairs (a < b) of the members that meet in a bucket, once for each bucket or more often."""
     met = left.join(right, "key").where("x != y")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -270,12 +270,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     signed = stored(texts.mapInArrow(_signatures(width), "id long, n_shingles long, set_key long, set_check long, bands array<long>, bits array<long>"), "signatures")
     same = ["set_key", "set_check", "n_shingles"]
     filled = signed.where("n_shingles > 0 AND id IS NOT NULL")
-    # Written at once, so the numbers stay; a class is a set, whatever doc_ids its rows have.
-    classes = filled.groupBy(*same).agg(F.min("id").alias("least_id")).select(*same, "least_id", F.monotonically_increasing_id().alias("class"))
-    classes = stored(classes, "classes")
-    # Equal sets have equal signatures, so any row of the least id with that set serves.
-    reps = filled.join(classes, same).where("id = least_id").select(F.col("class").alias("class_id"), "n_shingles", "bands", "bits").dropDuplicates(["class_id"])
-    reps, _ = stored_at(reps, "representatives")
+    # Written at once, so the numbers stay; a class is a set, whatever doc_ids its rows have. Equal sets have equal signatures, so any row's serves.
+    classes = filled.groupBy(*same).agg(F.min(F.struct("id", "bands", "bits")).alias("least"))
+    classes = classes.select(*same, F.col("least.id").alias("least_id"), "least.bands", "least.bits", F.monotonically_increasing_id().alias("class"))
+    classes, _ = stored_at(classes, "classes")
+    reps = classes.select(F.col("class").alias("class_id"), "n_shingles", "bands", "bits")
+    classes = classes.drop("bands", "bits")
     buckets = reps.select("class_id", F.explode("bands").alias("key"))
     sizes = buckets.groupBy("key").agg(F.count("*").alias("m"), F.min("class_id").alias("pivot")).where("m > 1")
     members, _ = stored_at(buckets.join(sizes, "key"), "buckets")
@@ -283,7 +283,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     few = members.where(F.col("m") <= SMALL)
     many = members.where(F.col("m") > SMALL)
     pairs = _pairs(few.select("key", "x"), few.select("key", F.col("x").alias("y"))).unionAll(
-        many.where("x != pivot").select(F.col("pivot").alias("a"), F.col("x").alias("b")).distinct()
+        many.where("x != pivot").select(F.col("pivot").alias("a"), F.col("x").alias("b"))
     )
     near, _ = stored_at(_likely(pairs.distinct(), reps, percent), "candidates")
     wanted = near.select(F.explode(F.array("a", "b")).alias("class")).unionAll(many.select(F.col("x").alias("class"))).distinct()
@@ -295,7 +295,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = sets.join(wanted, same).dropDuplicates(same).select(F.col("class").alias("id"), "members")
     sets, _ = stored_at(sets, "sets")
     links, _ = stored_at(_confirmed(near, sets, percent), "links")
-    joined = stored(components(links), "components")
+    joined = components(links)
     more = stored(_between_components(many, joined, sets, percent), "links")
     placed = signed.select("id", *same).join(classes, same, "left").select("id", "n_shingles", "class", "least_id")
     placed = stored(placed, "placed")
@@ -304,7 +304,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     by_id = placed.join(shared, "id").where("class != b").select(F.col("class").alias("a"), "b").distinct()
     more = stored(more.unionAll(by_id), "links")
     if not more.isEmpty():
-        joined = stored(components(links.unionAll(more)), "components")
+        joined = components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
     named = classes.select("class", "least_id").join(joined, F.col("class") == F.col("node")).groupBy("component").agg(F.min("least_id").alias("component_id"))
     joined = joined.join(named, "component").select("node", "component_id")
     found = placed.join(joined, placed["class"] == joined["node"], "left")
