@@ -542,3 +542,37 @@ def test_piece_ids_equal_whole_texts_and_stay_bounded():
         assert ids.tolist() == [i for x in want for i in x]
         assert len(cache.number) <= 500 + 400 * 14
     assert len(set(asked)) < len(asked)
+
+
+def test_new_pieces_are_encoded_together():
+    from tokenizers import Tokenizer
+
+    from zonepulse.llm.cuts import TOGETHER, PieceIds
+
+    model = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    sizes = wavelet.token_sizes(model)
+    rng = random.Random(6)
+    marks = [" ", " ", "  ", "\n", "\t", ".", ",", "'s", "\u00a0", "\u3000", "\x85", "\x00", "7", "Wort", " é", " 字", "é ", "<|endoftext|>", "<|", "a", " a", "😀"]
+    odd = ["".join(rng.choices(marks, k=rng.randrange(14))) for _ in range(3000)]
+    plain = [words(rng, 40) for _ in range(100)]
+
+    def coded(texts, sizes):
+        calls = []
+        cache = PieceIds(lambda x: calls.append(len(x)) or [e.ids for e in model.encode_batch_fast(x, add_special_tokens=False)], sizes=sizes)
+        raw = [x.encode() for x in texts]
+        ids, counts = cache(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(x) for x in raw])))
+        want = [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+        assert counts.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x]
+        return calls, len(cache.number)
+
+    for special in (False, True):
+        model.encode_special_tokens = special
+        calls, _ = coded(odd, sizes)
+        assert len(calls) == 1
+    calls, distinct = coded(plain, sizes)
+    assert len(calls) == 1 and calls[0] < distinct / TOGETHER + 2 * len(plain)
+    # Sizes that do not add up are noticed, and every piece is encoded by itself.
+    for wrong in (sizes + 1, sizes[::-1] + 1):
+        assert coded(plain, wrong)[0] == [calls[0], distinct]
+        coded(odd, wrong)

@@ -42,7 +42,7 @@ def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int], level:
     pack = zstandard.ZstdCompressor(level=level).compress
     frames, planes, at = [], [], 0
     for bit in range(width - 1, -1, -1):
-        one = (now >> now.dtype.type(bit)) & now.dtype.type(1) != 0
+        one = (now & now.dtype.type(1 << bit)).astype(bool)
         bits = np.packbits(one, bitorder="little")
         padded = np.zeros(-(-n // BLOCK) * BLOCK // 8, np.uint8)
         padded[: len(bits)] = bits
@@ -52,7 +52,8 @@ def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int], level:
         planes.append([at, len(frame), int(n - ones.sum())])
         frames.append(frame)
         at += len(frame)
-        now = np.concatenate([now[~one], now[one]])
+        # By compress, as an index of random flags takes half as long again.
+        now = np.concatenate([now.compress(~one), now.compress(one)])
     header = pack(json.dumps({"n": n, "planes": planes, "docs": doc_ids, "lengths": lengths}).encode())
     return b"".join([MAGIC, struct.pack("<I", len(header)), header, *frames])
 
@@ -159,7 +160,20 @@ def _encoder(definition: str, plain_specials: bool) -> PieceIds:
 
     model = Tokenizer.from_str(definition)
     model.encode_special_tokens = plain_specials
-    return PieceIds(lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)])
+    return PieceIds(lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)], sizes=token_sizes(model))
+
+
+def token_sizes(model) -> np.ndarray | None:
+    """Bytes of each id of a byte-level tokenizer, whose vocabulary spells a byte as one character; of others nothing is known."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    if not isinstance(model.pre_tokenizer, ByteLevel) or model.normalizer is not None:
+        return None
+    added = {i: len(t.content.encode()) for i, t in model.get_added_tokens_decoder().items()}
+    size = {i: len(t) for t, i in model.get_vocab(with_added_tokens=False).items()} | added
+    out = np.zeros(max(size) + 1, np.int64)
+    out[list(size)] = list(size.values())
+    return out
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
